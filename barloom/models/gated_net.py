@@ -1,0 +1,323 @@
+"""A small gated recurrent network per symbol, trained inside Spark tasks.
+
+With sequences of length one and zero initial state, an LSTM cell (Hochreiter &
+Schmidhuber, 1997) reduces to ``h = s(o) * tanh(s(i) * tanh(g))``: forget gate
+and recurrent weights multiply zeros. The net stacks such cells under a linear head
+and is trained with Adam (Kingma & Ba, 2015) on the mean squared error.
+
+The unit of work is a *shard* of one symbol, at most about ``shard_rows`` train rows,
+so a symbol of any size is trained by many tasks. A symbol of one shard is trained
+in one go. When some symbol needs more, training runs in rounds of ``sync_epochs``:
+each shard trains from the symbol's common state and the states are averaged, weighted
+by rows, between rounds (local SGD; McMahan et al., 2017). Every round is a
+checkpointed table, so a lost executor costs at most that round.
+"""
+
+from __future__ import annotations
+
+import math
+from functools import partial
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..schema import KEY, TIME, cut_lineage, epoch_seconds
+
+SHARD_ROWS = 50_000
+ADAM_DECAY = (0.9, 0.999)
+ADAM_EPS = 1e-8
+
+
+class GatedNet(NamedTuple):
+    predictions: DataFrame  # Stock, Date, actual, predicted
+    history: DataFrame  # Stock, epoch, loss, rmse, accuracy
+    parameters: DataFrame  # Stock, name, shape, values
+
+
+def layer_shapes(inputs: int, cells: int, hidden: int) -> list[tuple[str, tuple[int, ...]]]:
+    """Name and shape of each parameter; gates are stacked as input, cell, output."""
+    shapes = []
+    width = inputs
+    for cell in range(cells):
+        shapes.append((f"cell{cell}.weight", (width, 3 * hidden)))
+        shapes.append((f"cell{cell}.bias", (3 * hidden,)))
+        width = hidden
+    return [*shapes, ("head.weight", (hidden, 1)), ("head.bias", (1,))]
+
+
+def _views(flat: np.ndarray, shapes) -> list[np.ndarray]:
+    views, start = [], 0
+    for _, shape in shapes:
+        size = math.prod(shape)
+        views.append(flat[start : start + size].reshape(shape))
+        start += size
+    return views
+
+
+def _sigmoid(x):
+    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+
+
+def forward(views, x):
+    """Output and, per cell, what the gradient needs."""
+    trace = []
+    for weight, bias in zip(views[:-2:2], views[1:-2:2]):
+        i, g, o = np.split(x @ weight + bias, 3, axis=1)
+        i, g, o = _sigmoid(i), np.tanh(g), _sigmoid(o)
+        c = np.tanh(i * g)
+        trace.append((x, weight, i, g, o, c))
+        x = o * c
+    return (x @ views[-2] + views[-1])[:, 0], (trace, x)
+
+
+def backward(views, cache, d_out, grads) -> None:
+    """Gradient of the loss into ``grads``, given its derivative by the output."""
+    trace, top = cache
+    grads[-2][:] = top.T @ d_out[:, None]
+    grads[-1][:] = d_out.sum()
+    d_h = d_out[:, None] @ views[-2].T
+    for layer in reversed(range(len(trace))):
+        x, weight, i, g, o, c = trace[layer]
+        d_ig = d_h * o * (1 - c * c)
+        d_z = np.concatenate(
+            [d_ig * g * i * (1 - i), d_ig * i * (1 - g * g), d_h * c * o * (1 - o)], axis=1
+        )
+        grads[2 * layer][:] = x.T @ d_z
+        grads[2 * layer + 1][:] = d_z.sum(axis=0)
+        d_h = d_z @ weight.T
+
+
+def initial_state(size, hidden, seed):
+    """Parameters and the two Adam moments; the same on every shard of a symbol."""
+    bound = 1 / math.sqrt(hidden)
+    theta = np.random.default_rng(seed).uniform(-bound, bound, size)
+    return np.concatenate([theta, np.zeros(2 * size)])
+
+
+def train_shard(x, y, state, step, shapes, lr, batch, epochs, draw, cut):
+    """Adam over shuffled batches, updating ``state`` in place.
+
+    Returns the step count and, per epoch, the sum of squared errors and the number
+    of outputs on the same side of ``cut`` as their target.
+    """
+    rng = np.random.default_rng(draw)
+    size = len(state) // 3
+    theta, m, v = state[:size], state[size : 2 * size], state[2 * size :]
+    grad = np.zeros(size)
+    views, grads = _views(theta, shapes), _views(grad, shapes)
+    b1, b2 = ADAM_DECAY
+    above = y > cut
+    squared, hits, outputs = [], [], np.empty(len(y))
+    for _ in range(epochs):
+        order = rng.permutation(len(y))
+        for start in range(0, len(y), batch):
+            rows = order[start : start + batch]
+            out, cache = forward(views, x[rows])
+            outputs[rows] = out
+            backward(views, cache, 2 * (out - y[rows]) / len(rows), grads)
+            step += 1
+            m += (1 - b1) * (grad - m)
+            v += (1 - b2) * (grad * grad - v)
+            rate = lr * math.sqrt(1 - b2**step) / (1 - b1**step)
+            theta -= rate * m / (np.sqrt(v) + ADAM_EPS)
+        squared.append(float(np.sum((outputs - y) ** 2)))
+        hits.append(int(np.sum((outputs > cut) == above)))
+    return step, squared, hits
+
+
+def fit_gated_net(
+    df: DataFrame,
+    features: list[str],
+    label: str = "label",
+    cells: int = 2,
+    hidden: int = 64,
+    lr: float = 1e-3,
+    batch: int = 64,
+    epochs: int = 200,
+    seed: int = 42,
+    threshold: float = 0.5,
+    scale_label: bool = True,
+    shard_rows: int = SHARD_ROWS,
+    sync_epochs: int = 10,
+    key: str = KEY,
+    time: str = TIME,
+) -> GatedNet:
+    """Fit one net per symbol on its ``is_train`` rows and predict the others.
+
+    Features (and the label, with ``scale_label``) are standardised by the symbol's
+    train rows. ``history`` is per row, not per batch; its accuracy compares both
+    sides of ``threshold`` in label units.
+    """
+    shapes = layer_shapes(len(features), cells, hidden)
+    size = sum(math.prod(shape) for _, shape in shapes)
+    data, shards = _standardised(df, features, label, scale_label, shard_rows, key, time)
+    group = [key, "_shard"]
+    rows = data.filter("is_train").select(*group, "_sec", "_x", "_y", "_mean", "_sd")
+
+    def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
+        pdf = pdf.sort_values("_sec")
+        x, y = np.stack(pdf["_x"].to_numpy()), pdf["_y"].to_numpy()
+        if state is None:
+            values, step = initial_state(size, hidden, seed), 0
+        else:
+            values, step = np.array(state["_state"]), int(state["_step"])
+        draw = [seed, first_epoch, int(pdf["_shard"].iloc[0])]
+        mean, sd = float(pdf["_mean"].iloc[0]), float(pdf["_sd"].iloc[0])
+        cut = (threshold - mean) / sd
+        step, squared, hits = train_shard(
+            x, y, values, step, shapes, lr, batch, n_epochs, draw, cut
+        )
+        return pd.DataFrame(
+            {
+                key: [pdf[key].iloc[0]],
+                "_n": [len(y)],
+                "_step": [step],
+                "_state": [values],
+                "_loss": [[s * sd * sd for s in squared]],
+                "_hits": [hits],
+            }
+        )
+
+    schema = (
+        f"{key} string, _n long, _step long, _state array<double>, "
+        "_loss array<double>, _hits array<long>"
+    )
+    per_round = epochs if shards == 1 else sync_epochs
+    empty = [key, "_n", "_step", "_state", "_loss", "_hits"]
+    state, logs = None, []
+    for first in range(0, epochs, per_round):
+        n_epochs = min(per_round, epochs - first)
+        shard = partial(train, first_epoch=first, n_epochs=n_epochs)
+        if state is None:
+            trained = rows.groupBy(*group).applyInPandas(_alone(shard), schema)
+        else:
+            trained = (
+                rows.groupBy(*group)
+                .cogroup(_for_shards(state, key).groupBy(*group))
+                .applyInPandas(_with_state(shard, empty), schema)
+            )
+        trained = cut_lineage(trained)
+        logs.append(_log(trained, first, key))
+        state = cut_lineage(_averaged(trained, data, key))
+
+    history = logs[0]
+    for log in logs[1:]:
+        history = history.unionByName(log)
+    return GatedNet(
+        _predictions(data, state, shapes, size, key, time), history, _parameters(state, shapes, key)
+    )
+
+
+def _alone(shard):
+    return lambda pdf: shard(pdf, None)
+
+
+def _with_state(shard, columns):
+    """A shard with its symbol's state; a shard of test rows only has nothing to train."""
+    return lambda pdf, states: (
+        pd.DataFrame(columns=columns) if pdf.empty else shard(pdf, states.iloc[0])
+    )
+
+
+def _standardised(df, features, label, scale_label, shard_rows, key, time):
+    """Checkpointed rows with standardised arrays, and the largest number of shards."""
+    train = F.col("is_train")
+    aggs = [F.count(F.when(train, 1)).alias("_n_train")]
+    for i, c in enumerate([*features, label]):
+        value = F.when(train, F.col(c).cast("double"))
+        aggs += [F.avg(value).alias(f"_m{i}"), F.stddev_pop(value).alias(f"_s{i}")]
+    stats = df.groupBy(key).agg(*aggs)
+    n = len(features)
+    sd = [F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i in range(n + 1)]
+    scaled = [(F.col(c) - F.col(f"_m{i}")) / sd[i] for i, c in enumerate(features)]
+    mean, spread = (F.col(f"_m{n}"), sd[n]) if scale_label else (F.lit(0.0), F.lit(1.0))
+    actual = F.col(label).cast("double")
+    n_shards = F.ceil(F.col("_n_train") / shard_rows).cast("int")
+    data = df.join(stats.filter("_n_train > 0"), key).select(
+        key,
+        time,
+        "is_train",
+        epoch_seconds(time).alias("_sec"),
+        F.array(*scaled).alias("_x"),
+        ((actual - mean) / spread).alias("_y"),
+        actual.alias("_actual"),
+        mean.alias("_mean"),
+        spread.alias("_sd"),
+        n_shards.alias("_shards"),
+        F.pmod(F.xxhash64(key, epoch_seconds(time)), n_shards).cast("int").alias("_shard"),
+    )
+    data = cut_lineage(data)
+    return data, data.agg(F.max("_shards")).first()[0] or 1
+
+
+def _for_shards(state: DataFrame, key: str) -> DataFrame:
+    """The common state of a symbol, once per shard."""
+    return state.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)))
+
+
+def _averaged(trained: DataFrame, data: DataFrame, key: str) -> DataFrame:
+    """Row-weighted mean state per symbol, as one vector aggregate with partials."""
+    weight = F.col("_n").cast("double")
+    vector = array_to_vector("_state")
+    means = trained.groupBy(key).agg(
+        Summarizer.mean(vector, weight).alias("_state"), F.max("_step").alias("_step")
+    )
+    shards = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
+    return means.join(shards, key).withColumn("_state", vector_to_array("_state"))
+
+
+def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
+    per_epoch = trained.select(
+        key, "_n", F.posexplode(F.arrays_zip("_loss", "_hits")).alias("_i", "_e")
+    )
+    mean = F.sum("_e._loss") / F.sum("_n")
+    return per_epoch.groupBy(key, (F.col("_i") + first + 1).alias("epoch")).agg(
+        mean.alias("loss"),
+        F.sqrt(mean).alias("rmse"),
+        (F.sum("_e._hits") / F.sum("_n")).alias("accuracy"),
+    )
+
+
+def _predictions(data, state, shapes, size, key, time) -> DataFrame:
+    group = [key, "_shard"]
+    schema = f"{key} string, {time} timestamp, actual double, predicted double"
+    test = data.filter(~F.col("is_train")).select(
+        *group, F.col(time).cast("timestamp").alias(time), "_x", "_actual", "_mean", "_sd"
+    )
+
+    def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pd.DataFrame(columns=[key, time, "actual", "predicted"])
+        views = _views(np.asarray(states["_state"].iloc[0])[:size], shapes)
+        out, _ = forward(views, np.stack(pdf["_x"].to_numpy()))
+        return pd.DataFrame(
+            {
+                key: pdf[key],
+                time: pdf[time],
+                "actual": pdf["_actual"],
+                "predicted": out * pdf["_sd"] + pdf["_mean"],
+            }
+        )
+
+    states = _for_shards(state, key).select(*group, "_state").groupBy(*group)
+    return test.groupBy(*group).cogroup(states).applyInPandas(score, schema)
+
+
+def _parameters(state: DataFrame, shapes, key: str) -> DataFrame:
+    cells, start = [], 1
+    for name, shape in shapes:
+        length = math.prod(shape)
+        cells.append(
+            F.struct(
+                F.lit(name).alias("name"),
+                F.array(*[F.lit(d) for d in shape]).alias("shape"),
+                F.slice("_state", start, length).alias("values"),
+            )
+        )
+        start += length
+    return state.select(key, F.explode(F.array(*cells)).alias("_p")).select(key, "_p.*")
