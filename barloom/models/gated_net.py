@@ -16,11 +16,13 @@ checkpointed table, so a lost executor costs at most that round.
 from __future__ import annotations
 
 import math
+import sys
 from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -28,7 +30,11 @@ from pyspark.sql import functions as F
 
 from ..schema import KEY, TIME, cut_lineage, epoch_seconds
 
+# The functions below travel with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SHARD_ROWS = 50_000
+MAX_TASKS = 20_000
 ADAM_DECAY = (0.9, 0.999)
 ADAM_EPS = 1e-8
 
@@ -67,8 +73,9 @@ def forward(views, x):
     """Output and, per cell, what the gradient needs."""
     trace = []
     for weight, bias in zip(views[:-2:2], views[1:-2:2]):
-        i, g, o = np.split(x @ weight + bias, 3, axis=1)
-        i, g, o = _sigmoid(i), np.tanh(g), _sigmoid(o)
+        z = x @ weight + bias
+        width = z.shape[1] // 3
+        i, g, o = _sigmoid(z[:, :width]), np.tanh(z[:, width:-width]), _sigmoid(z[:, -width:])
         c = np.tanh(i * g)
         trace.append((x, weight, i, g, o, c))
         x = o * c
@@ -83,13 +90,16 @@ def backward(views, cache, d_out, grads) -> None:
     d_h = d_out[:, None] @ views[-2].T
     for layer in reversed(range(len(trace))):
         x, weight, i, g, o, c = trace[layer]
+        width = i.shape[1]
         d_ig = d_h * o * (1 - c * c)
-        d_z = np.concatenate(
-            [d_ig * g * i * (1 - i), d_ig * i * (1 - g * g), d_h * c * o * (1 - o)], axis=1
-        )
-        grads[2 * layer][:] = x.T @ d_z
+        d_z = np.empty((len(x), 3 * width))
+        d_z[:, :width] = d_ig * g * i * (1 - i)
+        d_z[:, width:-width] = d_ig * i * (1 - g * g)
+        d_z[:, -width:] = d_h * c * o * (1 - o)
+        np.matmul(x.T, d_z, out=grads[2 * layer])
         grads[2 * layer + 1][:] = d_z.sum(axis=0)
-        d_h = d_z @ weight.T
+        if layer:
+            d_h = d_z @ weight.T
 
 
 def initial_state(size, hidden, seed):
@@ -121,10 +131,18 @@ def train_shard(x, y, state, step, shapes, lr, batch, epochs, draw, cut):
             outputs[rows] = out
             backward(views, cache, 2 * (out - y[rows]) / len(rows), grads)
             step += 1
-            m += (1 - b1) * (grad - m)
-            v += (1 - b2) * (grad * grad - v)
-            rate = lr * math.sqrt(1 - b2**step) / (1 - b1**step)
-            theta -= rate * m / (np.sqrt(v) + ADAM_EPS)
+            m *= b1
+            m += (1 - b1) * grad
+            grad *= grad
+            grad *= 1 - b2
+            v *= b2
+            v += grad
+            np.sqrt(v, out=grad)
+            grad *= 1 / math.sqrt(1 - b2**step)
+            grad += ADAM_EPS
+            np.divide(m, grad, out=grad)
+            grad *= lr / (1 - b1**step)
+            theta -= grad
         squared.append(float(np.sum((outputs - y) ** 2)))
         hits.append(int(np.sum((outputs > cut) == above)))
     return step, squared, hits
@@ -155,9 +173,13 @@ def fit_gated_net(
     """
     shapes = layer_shapes(len(features), cells, hidden)
     size = sum(math.prod(shape) for _, shape in shapes)
-    data, shards = _standardised(df, features, label, scale_label, shard_rows, key, time)
+    data, shards, groups = _standardised(df, features, label, scale_label, shard_rows, key, time)
     group = [key, "_shard"]
+    # Shards are small in bytes but long in compute: a fixed number of partitions, several
+    # per shard against collisions, keeps AQE from merging them into few tasks.
+    tasks = min(4 * groups, MAX_TASKS)
     rows = data.filter("is_train").select(*group, "_sec", "_x", "_y", "_mean", "_sd")
+    rows = rows.repartition(tasks, *group)
 
     def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
         pdf = pdf.sort_values("_sec")
@@ -225,7 +247,7 @@ def _with_state(shard, columns):
 
 
 def _standardised(df, features, label, scale_label, shard_rows, key, time):
-    """Checkpointed rows with standardised arrays, and the largest number of shards."""
+    """Checkpointed rows with standardised arrays; most shards of a symbol, shards in all."""
     train = F.col("is_train")
     aggs = [F.count(F.when(train, 1)).alias("_n_train")]
     for i, c in enumerate([*features, label]):
@@ -252,7 +274,9 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
         F.pmod(F.xxhash64(key, epoch_seconds(time)), n_shards).cast("int").alias("_shard"),
     )
     data = cut_lineage(data)
-    return data, data.agg(F.max("_shards")).first()[0] or 1
+    sizes = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
+    most, total = sizes.agg(F.max("_shards"), F.sum("_shards")).first()
+    return data, most or 1, total or 1
 
 
 def _for_shards(state: DataFrame, key: str) -> DataFrame:

@@ -69,7 +69,7 @@ def fit_per_symbol(
     estimator: Estimator,
     label: str = "label",
     symbols: list[str] | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
     scale_label: bool = False,
     min_rows: int = 2,
     key: str = KEY,
