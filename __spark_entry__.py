@@ -181,7 +181,7 @@ def _forest_direction(bars: DataFrame) -> DataFrame:
 def _factorization_price(bars: DataFrame) -> DataFrame:
     return _fit_and_score(
         plans.price_features(bars),
-        factorization(PRICE_FEATURES),
+        factorization(PRICE_FEATURES, step_size=0.03),
         "factorization",
         "label",
         scale_label=True,
@@ -495,10 +495,9 @@ def _corr_cells(upper: bool, digits: int) -> str:
 
 
 def _bin_sql(c: str, bins: int) -> str:
-    return (
-        f"""coalesce(least(floor(("{c}" - min("{c}") OVER p) / nullif(max("{c}") OVER p """
-        f"""- min("{c}") OVER p, 0) * {bins}), {bins - 1}), 0)::INT"""
-    )
+    lo, hi = f'min("{c}") OVER p', f'max("{c}") OVER p'
+    share = f'("{c}" - {lo}) / nullif({hi} - {lo}, 0)'
+    return f"CASE WHEN {hi} > {lo} THEN least(floor({share} * {bins}), {bins - 1})::INT ELSE 0 END"
 
 
 def _histogram_sql(bins: int) -> str:

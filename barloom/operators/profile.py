@@ -92,7 +92,8 @@ def _bin(cols: list[str], i: int, bins: int):
     """Index of the equal-width bin; the maximum falls in the last, a constant in bin 0."""
     lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
     share = (F.col(cols[i]) - lo) / F.nullif(hi - lo, F.lit(0.0))
-    return F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    index = F.least(F.floor(share * bins), F.lit(bins - 1))
+    return F.when(hi > lo, index).otherwise(0).cast("int")
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 10, key: str = KEY) -> DataFrame:

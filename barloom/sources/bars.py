@@ -10,22 +10,18 @@ from ..schema import BAR_SCHEMA, CSV_COLUMNS, CSV_DATE_FORMAT, KEY, PRICES, TIME
 
 CORRUPT = "_corrupt"
 DOUBLES = [*PRICES, "Volume"]
-
-CSV_SCHEMA = T.StructType(
-    [
-        T.StructField(c, T.StringType() if c == "Date" else T.DoubleType())
-        for c in [c.replace("Adj Close", "AdjClose") for c in CSV_COLUMNS]
-    ]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
 # Both spellings of the adjusted close occur in files; a file has one of them.
 ADJUSTED_NAMES = ["AdjClose", "Adj Close", "Adjusted Close"]
-JSON_SCHEMA = T.StructType(
-    [T.StructField("Stock", T.StringType()), T.StructField("Date", T.StringType())]
-    + [T.StructField(c, T.DoubleType()) for c in ["Open", "High", "Low", "Close", "Volume"]]
-    + [T.StructField(c, T.DoubleType()) for c in ADJUSTED_NAMES]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
+
+
+def _text(names: list[str]) -> T.StructType:
+    """Files are read as text and cast here: whether a row is broken then depends on its
+    values alone, not on which columns a query happens to read."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+
+
+CSV_SCHEMA = _text(["AdjClose" if c == "Adj Close" else c for c in CSV_COLUMNS])
+JSON_SCHEMA = _text(["Stock", "Date", *[c for c in DOUBLES if c != "AdjClose"], *ADJUSTED_NAMES])
 
 
 def _symbol_from_file() -> Column:
@@ -76,19 +72,17 @@ def read_bars(
     ``fmt``: ``csv`` (symbol from the file name), ``json`` (JSON lines; symbol from a
     ``Stock`` field or ``Stock=`` folder, else from an ``X-dataset.json`` folder) or
     ``parquet`` as ``write_bars`` leaves it. ``infer`` lets Spark infer the CSV types
-    by header name. Rejects hold the symbol, the date text and the broken line.
+    by header name. A row whose date or a value cannot be read is in ``rejects``, with its
+    symbol, date text and line, and not in ``bars``.
     """
     if fmt == "parquet":
         bars = spark.read.parquet(path)
         bars = normalise(bars, date_format).select(*BAR_SCHEMA.names)
         return bars, spark.createDataFrame([], "Stock string, Date string, line string")
-    # Without column pruning a line is broken or not whatever the query selects.
-    reader = spark.read.option("columnPruning", False)
-    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
+    reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
     if fmt == "json":
         raw = reader.schema(JSON_SCHEMA).json(path)
         name = symbol if symbol is not None else F.coalesce("Stock", _symbol_from_folder())
-        raw = raw.withColumn("_name", name).drop("Stock")
         date_format = None if date_format == CSV_DATE_FORMAT else date_format
     elif fmt == "csv":
         if infer:
@@ -96,19 +90,23 @@ def read_bars(
             raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
         else:
             raw = reader.option("header", True).schema(CSV_SCHEMA).csv(path)
-        raw = raw.withColumn("_name", symbol if symbol is not None else _symbol_from_file())
+        name = symbol if symbol is not None else _symbol_from_file()
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
-    raw = raw.withColumnRenamed("_name", KEY)
+    values = [c for c in raw.columns if c in DOUBLES or c in ADJUSTED_NAMES]
     is_text = raw.schema[TIME].dataType.typeName() == "string"
     parsed = _timestamp(date_format) if is_text else F.col(TIME).cast("timestamp")
     broken = F.col(CORRUPT).isNotNull() | parsed.isNull()
-    bars = normalise(raw.filter(~broken), date_format)
-    rejects = raw.filter(broken).select(
-        KEY, F.col(TIME).cast("string").alias(TIME), F.col(CORRUPT).alias("line")
+    for c in values:
+        broken = broken | (F.col(c).isNotNull() & F.col(c).try_cast("double").isNull())
+    raw = raw.withColumns({KEY: name, "_broken": broken})
+    rejects = raw.filter("_broken").select(
+        KEY,
+        F.col(TIME).cast("string").alias(TIME),
+        F.coalesce(CORRUPT, F.to_json(F.struct(TIME, *values))).alias("line"),
     )
-    return bars, rejects
+    return normalise(raw.filter("NOT _broken"), date_format), rejects
 
 
 def write_bars(
