@@ -18,8 +18,14 @@ from barloom import operators as op
 from barloom import plans
 from barloom import sources
 from barloom import testdata
-from barloom.models import factorization, fit_gated_net, fit_per_symbol, forest, score_per_symbol
-from barloom.operators.clean import newest_per_key
+from barloom.models import (
+    factorization,
+    fit_factorization,
+    fit_gated_net,
+    fit_per_symbol,
+    forest,
+    score_per_symbol,
+)
 from barloom.plans import DIRECTION_FEATURES, PRICE_FEATURES
 from barloom.schema import configure, epoch_seconds, staged
 
@@ -337,6 +343,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "random_forest_price": _orders(_forest_price),
         "random_forest_direction": _orders(_forest_direction),
         "factorization_price": _orders(_factorization_price),
+        "factorization_all_symbols": _brands(
+            lambda b: fit_factorization(plans.price_features(b), PRICE_FEATURES).predictions
+        ),
         "gated_net_price": _orders(lambda b: _net_price(b).predictions),
         "gated_net_direction": _orders(lambda b: _net_direction(b).predictions),
         "gated_net_history": _on(

@@ -1,5 +1,5 @@
-from .gated_net import GatedNet, fit_gated_net  # noqa: F401
 from .per_symbol import (  # noqa: F401
+    Fitted,
     factorization,
     fit_per_symbol,
     forest,
@@ -7,3 +7,4 @@ from .per_symbol import (  # noqa: F401
     save_models,
     score_per_symbol,
 )
+from .shards import ShardFit, fit_factorization, fit_gated_net  # noqa: F401

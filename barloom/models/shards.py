@@ -1,16 +1,12 @@
-"""A small gated recurrent network per symbol, trained inside Spark tasks.
-
-With sequences of length one and zero initial state, an LSTM cell (Hochreiter &
-Schmidhuber, 1997) reduces to ``h = s(o) * tanh(s(i) * tanh(g))``: forget gate
-and recurrent weights multiply zeros. The net stacks such cells under a linear head
-and is trained with Adam (Kingma & Ba, 2015) on the mean squared error.
+"""Gradient-trained models, one per symbol, all symbols in the same Spark job.
 
 The unit of work is a *shard* of one symbol, at most about ``shard_rows`` train rows,
-so a symbol of any size is trained by many tasks. A symbol of one shard is trained
-in one go. When some symbol needs more, training runs in rounds of ``sync_epochs``:
-each shard trains from the symbol's common state and the states are averaged, weighted
-by rows, between rounds (local SGD; McMahan et al., 2017). Every round is a
-checkpointed table, so a lost executor costs at most that round.
+so a symbol of any size is trained by many tasks and thousands of symbols take one
+job. A symbol of one shard is trained in one go. When some symbol needs more,
+training runs in rounds of ``sync_epochs``: each shard trains from the symbol's common
+state and the states are averaged, weighted by rows, between rounds (local SGD;
+McMahan et al., 2017). Every round is a checkpointed table, so a lost executor costs
+at most that round. The optimiser is Adam (Kingma & Ba, 2015) on the squared error.
 """
 
 from __future__ import annotations
@@ -29,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import KEY, TIME, cut_lineage, epoch_seconds
+from .kernels import FactorPairs, GatedCells, views
 
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,97 +36,35 @@ ADAM_DECAY = (0.9, 0.999)
 ADAM_EPS = 1e-8
 
 
-class GatedNet(NamedTuple):
+class ShardFit(NamedTuple):
     predictions: DataFrame  # Stock, Date, actual, predicted
     history: DataFrame  # Stock, epoch, loss, rmse, accuracy
     parameters: DataFrame  # Stock, name, shape, values
 
 
-def layer_shapes(inputs: int, cells: int, hidden: int) -> list[tuple[str, tuple[int, ...]]]:
-    """Name and shape of each parameter; gates are stacked as input, cell, output."""
-    shapes = []
-    width = inputs
-    for cell in range(cells):
-        shapes.append((f"cell{cell}.weight", (width, 3 * hidden)))
-        shapes.append((f"cell{cell}.bias", (3 * hidden,)))
-        width = hidden
-    return [*shapes, ("head.weight", (hidden, 1)), ("head.bias", (1,))]
-
-
-def _views(flat: np.ndarray, shapes) -> list[np.ndarray]:
-    views, start = [], 0
-    for _, shape in shapes:
-        size = math.prod(shape)
-        views.append(flat[start : start + size].reshape(shape))
-        start += size
-    return views
-
-
-def _sigmoid(x):
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
-
-
-def forward(views, x):
-    """Output and, per cell, what the gradient needs."""
-    trace = []
-    for weight, bias in zip(views[:-2:2], views[1:-2:2]):
-        z = x @ weight + bias
-        width = z.shape[1] // 3
-        i, g, o = _sigmoid(z[:, :width]), np.tanh(z[:, width:-width]), _sigmoid(z[:, -width:])
-        c = np.tanh(i * g)
-        trace.append((x, weight, i, g, o, c))
-        x = o * c
-    return (x @ views[-2] + views[-1])[:, 0], (trace, x)
-
-
-def backward(views, cache, d_out, grads) -> None:
-    """Gradient of the loss into ``grads``, given its derivative by the output."""
-    trace, top = cache
-    grads[-2][:] = top.T @ d_out[:, None]
-    grads[-1][:] = d_out.sum()
-    d_h = d_out[:, None] @ views[-2].T
-    for layer in reversed(range(len(trace))):
-        x, weight, i, g, o, c = trace[layer]
-        width = i.shape[1]
-        d_ig = d_h * o * (1 - c * c)
-        d_z = np.empty((len(x), 3 * width))
-        d_z[:, :width] = d_ig * g * i * (1 - i)
-        d_z[:, width:-width] = d_ig * i * (1 - g * g)
-        d_z[:, -width:] = d_h * c * o * (1 - o)
-        np.matmul(x.T, d_z, out=grads[2 * layer])
-        grads[2 * layer + 1][:] = d_z.sum(axis=0)
-        if layer:
-            d_h = d_z @ weight.T
-
-
-def initial_state(size, hidden, seed):
-    """Parameters and the two Adam moments; the same on every shard of a symbol."""
-    bound = 1 / math.sqrt(hidden)
-    theta = np.random.default_rng(seed).uniform(-bound, bound, size)
-    return np.concatenate([theta, np.zeros(2 * size)])
-
-
-def train_shard(x, y, state, step, shapes, lr, batch, epochs, draw, cut):
-    """Adam over shuffled batches, updating ``state`` in place.
-
-    Returns the step count and, per epoch, the sum of squared errors and the number
-    of outputs on the same side of ``cut`` as their target.
+def train_shard(kernel, x, y, state, step, lr, batch, epochs, draw, cut):
+    """Adam over shuffled batches (all rows at once if ``batch`` is None).
+
+    ``state`` holds the parameters and the two moments and is updated in place. Returns
+    the step count and, per epoch, the sum of squared errors and the number of outputs
+    on the same side of ``cut`` as their target.
     """
     rng = np.random.default_rng(draw)
-    size = len(state) // 3
-    theta, m, v = state[:size], state[size : 2 * size], state[2 * size :]
-    grad = np.zeros(size)
-    views, grads = _views(theta, shapes), _views(grad, shapes)
+    shapes = kernel.shapes(x.shape[1])
+    theta, m, v = np.split(state, 3)
+    grad = np.empty(len(theta))
+    params, grads = views(theta, shapes), views(grad, shapes)
     b1, b2 = ADAM_DECAY
     above = y > cut
     squared, hits, outputs = [], [], np.empty(len(y))
+    size = batch or len(y)
     for _ in range(epochs):
         order = rng.permutation(len(y))
-        for start in range(0, len(y), batch):
-            rows = order[start : start + batch]
-            out, cache = forward(views, x[rows])
+        for first in range(0, len(y), size):
+            rows = order[first : first + size]
+            out, cache = kernel.forward(params, x[rows])
             outputs[rows] = out
-            backward(views, cache, 2 * (out - y[rows]) / len(rows), grads)
+            kernel.backward(params, cache, 2 * (out - y[rows]) / len(rows), grads)
             step += 1
             m *= b1
             m += (1 - b1) * grad
@@ -148,15 +83,14 @@ def train_shard(x, y, state, step, shapes, lr, batch, epochs, draw, cut):
     return step, squared, hits
 
 
-def fit_gated_net(
+def fit_in_shards(
     df: DataFrame,
     features: list[str],
-    label: str = "label",
-    cells: int = 2,
-    hidden: int = 64,
-    lr: float = 1e-3,
-    batch: int = 64,
-    epochs: int = 200,
+    label: str,
+    kernel,
+    lr: float,
+    batch: int | None,
+    epochs: int,
     seed: int = 42,
     threshold: float = 0.5,
     scale_label: bool = True,
@@ -164,15 +98,14 @@ def fit_gated_net(
     sync_epochs: int = 10,
     key: str = KEY,
     time: str = TIME,
-) -> GatedNet:
-    """Fit one net per symbol on its ``is_train`` rows and predict the others.
+) -> ShardFit:
+    """Fit ``kernel`` per symbol on its ``is_train`` rows and predict the others.
 
     Features (and the label, with ``scale_label``) are standardised by the symbol's
-    train rows. ``history`` is per row, not per batch; its accuracy compares both
-    sides of ``threshold`` in label units.
+    train rows; a symbol without any is left out. ``history`` is per row, not per
+    batch; its accuracy compares both sides of ``threshold`` in label units.
     """
-    shapes = layer_shapes(len(features), cells, hidden)
-    size = sum(math.prod(shape) for _, shape in shapes)
+    n_inputs = len(features)
     data, shards, groups = _standardised(df, features, label, scale_label, shard_rows, key, time)
     group = [key, "_shard"]
     # Shards are small in bytes but long in compute: a fixed number of partitions, several
@@ -185,14 +118,15 @@ def fit_gated_net(
         pdf = pdf.sort_values("_sec")
         x, y = np.stack(pdf["_x"].to_numpy()), pdf["_y"].to_numpy()
         if state is None:
-            values, step = initial_state(size, hidden, seed), 0
+            theta = kernel.start(n_inputs, seed)
+            values, step = np.concatenate([theta, np.zeros(2 * len(theta))]), 0
         else:
             values, step = np.array(state["_state"]), int(state["_step"])
         draw = [seed, first_epoch, int(pdf["_shard"].iloc[0])]
         mean, sd = float(pdf["_mean"].iloc[0]), float(pdf["_sd"].iloc[0])
         cut = (threshold - mean) / sd
         step, squared, hits = train_shard(
-            x, y, values, step, shapes, lr, batch, n_epochs, draw, cut
+            kernel, x, y, values, step, lr, batch, n_epochs, draw, cut
         )
         return pd.DataFrame(
             {
@@ -209,8 +143,8 @@ def fit_gated_net(
         f"{key} string, _n long, _step long, _state array<double>, "
         "_loss array<double>, _hits array<long>"
     )
-    per_round = epochs if shards == 1 else sync_epochs
     empty = [key, "_n", "_step", "_state", "_loss", "_hits"]
+    per_round = epochs if shards == 1 else sync_epochs
     state, logs = None, []
     for first in range(0, epochs, per_round):
         n_epochs = min(per_round, epochs - first)
@@ -230,11 +164,47 @@ def fit_gated_net(
     history = logs[0]
     for log in logs[1:]:
         history = history.unionByName(log)
-    return GatedNet(
-        _predictions(data, state, shapes, size, key, time), history, _parameters(state, shapes, key)
+    return ShardFit(
+        _predictions(data, state, kernel, n_inputs, key, time),
+        history,
+        _parameters(state, kernel.shapes(n_inputs), key),
     )
 
 
+def fit_gated_net(
+    df: DataFrame,
+    features: list[str],
+    label: str = "label",
+    cells: int = 2,
+    hidden: int = 64,
+    lr: float = 1e-3,
+    batch: int | None = 64,
+    epochs: int = 200,
+    **options,
+) -> ShardFit:
+    """A small gated recurrent net per symbol; ``options`` as in ``fit_in_shards``."""
+    return fit_in_shards(
+        df, features, label, GatedCells(cells, hidden), lr, batch, epochs, **options
+    )
+
+
+def fit_factorization(
+    df: DataFrame,
+    features: list[str],
+    label: str = "label",
+    factors: int = 8,
+    lr: float = 0.03,
+    epochs: int = 100,
+    **options,
+) -> ShardFit:
+    """A factorization machine per symbol by full-batch steps, without a job per step.
+
+    For universes of thousands of symbols, where one Spark ML fit per symbol would keep
+    the driver busy with hundreds of small jobs each.
+    """
+    return fit_in_shards(df, features, label, FactorPairs(factors), lr, None, epochs, **options)
+
+
 def _alone(shard):
     return lambda pdf: shard(pdf, None)
 
@@ -287,9 +257,9 @@ def _for_shards(state: DataFrame, key: str) -> DataFrame:
 def _averaged(trained: DataFrame, data: DataFrame, key: str) -> DataFrame:
     """Row-weighted mean state per symbol, as one vector aggregate with partials."""
     weight = F.col("_n").cast("double")
-    vector = array_to_vector("_state")
     means = trained.groupBy(key).agg(
-        Summarizer.mean(vector, weight).alias("_state"), F.max("_step").alias("_step")
+        Summarizer.mean(array_to_vector("_state"), weight).alias("_state"),
+        F.max("_step").alias("_step"),
     )
     shards = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
     return means.join(shards, key).withColumn("_state", vector_to_array("_state"))
@@ -307,8 +277,9 @@ def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
     )
 
 
-def _predictions(data, state, shapes, size, key, time) -> DataFrame:
+def _predictions(data, state, kernel, n_inputs, key, time) -> DataFrame:
     group = [key, "_shard"]
+    shapes = kernel.shapes(n_inputs)
     schema = f"{key} string, {time} timestamp, actual double, predicted double"
     test = data.filter(~F.col("is_train")).select(
         *group, F.col(time).cast("timestamp").alias(time), "_x", "_actual", "_mean", "_sd"
@@ -317,8 +288,8 @@ def _predictions(data, state, shapes, size, key, time) -> DataFrame:
     def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame(columns=[key, time, "actual", "predicted"])
-        views = _views(np.asarray(states["_state"].iloc[0])[:size], shapes)
-        out, _ = forward(views, np.stack(pdf["_x"].to_numpy()))
+        params = views(np.asarray(states["_state"].iloc[0]), shapes)
+        out, _ = kernel.forward(params, np.stack(pdf["_x"].to_numpy()))
         return pd.DataFrame(
             {
                 key: pdf[key],

@@ -26,6 +26,7 @@ from ..schema import DAY, KEY, TIME, epoch_seconds
 
 CHUNK_DAYS = 1024
 CHUNK, HOME, SEC = "_chunk", "_home", "_sec"
+INDEX_PREFIXES = ("_rows_", "_prev_", "_sum_", "_count_")
 
 
 def chunk_of(seconds: Column, chunk_days: int) -> Column:
@@ -73,14 +74,14 @@ def chunk_index(
     """One row per ``(key, _chunk)``, built from partial aggregates.
 
     ``_rows_before`` / ``_rows_total``: rows of the symbol in earlier chunks / in all.
-    ``_prev``: struct of the ``last`` columns of the nearest earlier bar outside the chunk.
+    ``_prev_<col>``: each ``last`` column at the nearest earlier bar outside the chunk.
     ``_sum_<name>`` / ``_count_<name>``: over the symbol's whole history, per ``totals`` entry.
     """
-    totals = totals or {}
+    last, totals = last or [], totals or {}
     sec = epoch_seconds(time)
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    if last:
-        aggs.append(F.max_by(F.struct(*last), sec).alias("_last"))
+    # One max_by per column: a struct buffer would turn the hash aggregate into a sort.
+    aggs += [F.max_by(c, sec).alias(f"_l_{c}") for c in last]
     for name, value in totals.items():
         aggs += [F.sum(value).alias(f"_s_{name}"), F.count(value).alias(f"_c_{name}")]
     per_chunk = df.groupBy(key, chunk_of(sec, chunk_days).alias(CHUNK)).agg(*aggs)
@@ -94,8 +95,7 @@ def chunk_index(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_rows").over(whole).alias("_rows_total"),
     ]
-    if last:
-        out.append(F.lag("_last").over(ordered).alias("_prev"))
+    out += [F.lag(f"_l_{c}").over(ordered).alias(f"_prev_{c}") for c in last]
     for name in totals:
         out.append(F.sum(f"_s_{name}").over(whole).alias(f"_sum_{name}"))
         out.append(F.sum(f"_c_{name}").over(whole).alias(f"_count_{name}"))
@@ -113,10 +113,10 @@ def attach(df: DataFrame, index: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def previous(col: str, key: str = KEY) -> Column:
-    """The value of the preceding bar, for home rows with an attached ``_prev``."""
+    """The value of the preceding bar, for home rows with ``col`` in the attached index."""
     rows = by_time(key)
     first = F.row_number().over(rows) == 1
-    return F.when(first, F.col(f"_prev.{col}")).otherwise(F.lag(col).over(rows))
+    return F.when(first, F.col(f"_prev_{col}")).otherwise(F.lag(col).over(rows))
 
 
 def row_number(key: str = KEY) -> Column:
@@ -124,9 +124,5 @@ def row_number(key: str = KEY) -> Column:
     return F.row_number().over(by_time(key)) + F.col("_rows_before")
 
 
-INDEX_COLUMNS = ("_rows_before", "_rows_total", "_prev")
-
-
 def drop_index(df: DataFrame) -> DataFrame:
-    extra = [c for c in df.columns if c.startswith(("_sum_", "_count_"))]
-    return df.drop(*INDEX_COLUMNS, *extra)
+    return df.drop(*[c for c in df.columns if c.startswith(INDEX_PREFIXES)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import KEY, TIME, TOP_SYMBOLS
@@ -41,10 +41,15 @@ def only_symbols(df: DataFrame, symbols: list[str] | None = None, key: str = KEY
 
 
 def to_bars(
-    df: DataFrame, symbol: str, ts: str, price: str, order_key: str | list[str]
+    df: DataFrame, symbol: str, ts: str, price: str, order_key: str | list[str] | Column
 ) -> DataFrame:
-    """Raw priced rows to bars; Open and Close are the ends by the unique ``order_key``."""
-    order = F.col(order_key) if isinstance(order_key, str) else F.struct(*order_key)
+    """Raw priced rows to bars; Open and Close are the ends by the unique ``order_key``.
+
+    A list is compared left to right, for which Spark sorts the raw rows before it
+    aggregates them; a single number, such as several ids packed in a decimal, is
+    aggregated by hash.
+    """
+    order = F.struct(*order_key) if isinstance(order_key, list) else order_key
     return df.groupBy(F.col(symbol).alias(KEY), F.col(ts).alias(TIME)).agg(
         F.min_by(price, order).alias("Open"),
         F.max(price).alias("High"),

@@ -55,42 +55,39 @@ def auc(preds: DataFrame, slices: int = 64) -> DataFrame:
         F.count(F.when(~F.col("actual").isin(0, 1), 1)).alias("other"),
     )
     quantiles = [i / slices for i in range(1, slices)]
-    cuts = scores.groupBy(*GROUP).agg(
-        F.percentile_approx("score", quantiles, 1000).alias("cuts")
+    # The totals come along because both readers of ``scores`` then need the same
+    # columns, and Spark computes and shuffles it once.
+    groups = scores.groupBy(*GROUP).agg(
+        F.percentile_approx("score", quantiles, 1000).alias("cuts"),
+        F.sum("pos").alias("all_pos"),
+        F.sum("neg").alias("all_neg"),
+        F.sum("other").alias("all_other"),
     )
-    score = F.col("score")
-    sliced = scores.join(cuts, GROUP).withColumn(
+    score, wide = F.col("score"), "decimal(38,0)"
+    sliced = scores.join(groups, GROUP).withColumn(
         "slice", F.size(F.filter("cuts", lambda cut: cut < score))
     )
-    lower = (
-        W.partitionBy(*GROUP, "slice").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
-    )
-    wide = "decimal(38,0)"
-    sliced = sliced.withColumn(
-        "lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)).cast("decimal(19,0)")
-    )
-    # Twice the rank sum, so that a tie's half counts stay whole numbers.
-    pairs = F.col("pos").cast("decimal(18,0)") * (2 * F.col("lower") + F.col("neg"))
+    inside = W.partitionBy(*GROUP, "slice").orderBy("score")
+    lower = F.coalesce(
+        F.sum("neg").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+    ).cast("decimal(18,0)")
+    # Twice the pairs won, so that a tie's halves stay whole numbers.
+    pairs = F.col("pos").cast("decimal(18,0)") * (2 * lower + F.col("neg"))
+    sliced = sliced.withColumn("pairs", pairs.cast(wide))
     per_slice = sliced.groupBy(*GROUP, "slice").agg(
-        F.sum(pairs.cast(wide)).cast(wide).alias("pairs"),
+        F.sum("pairs").cast(wide).alias("pairs"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
-        F.sum("other").alias("other"),
+        *[F.max(c).alias(c) for c in ("all_pos", "all_neg", "all_other")],
     )
     earlier = W.partitionBy(*GROUP).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast("decimal(18,0)")
-    per_slice = per_slice.withColumn(
-        "pairs", F.col("pairs") + (F.col("pos").cast("decimal(18,0)") * before * 2).cast(wide)
-    )
-    groups = per_slice.groupBy(*GROUP).agg(
+    across = (F.col("pos").cast("decimal(18,0)") * before * 2).cast(wide)
+    won = per_slice.withColumn("pairs", F.col("pairs") + across).groupBy(*GROUP).agg(
         F.sum("pairs").cast("double").alias("pairs"),
-        F.sum("pos").cast("double").alias("pos"),
-        F.sum("neg").cast("double").alias("neg"),
-        F.sum("other").alias("other"),
+        *[F.max(c).cast("double").alias(c) for c in ("all_pos", "all_neg", "all_other")],
     )
     # A label other than 0 or 1 makes the score meaningless, so there is none.
-    area = F.when(
-        F.col("other") == 0,
-        F.col("pairs") / F.nullif(2 * F.col("pos") * F.col("neg"), F.lit(0.0)),
-    )
-    return groups.select(*GROUP, F.lit("auc").alias("metric"), area.alias("value"))
+    both = F.nullif(2 * F.col("all_pos") * F.col("all_neg"), F.lit(0.0))
+    area = F.when(F.col("all_other") == 0, F.col("pairs") / both)
+    return won.select(*GROUP, F.lit("auc").alias("metric"), area.alias("value"))

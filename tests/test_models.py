@@ -11,6 +11,7 @@ from barloom import operators as op
 from barloom import plans
 from barloom.models import (
     factorization,
+    fit_factorization,
     fit_gated_net,
     fit_per_symbol,
     forest,
@@ -18,7 +19,7 @@ from barloom.models import (
     save_models,
     score_per_symbol,
 )
-from barloom.models import gated_net as net
+from barloom.models.kernels import FactorPairs, GatedCells, views
 from barloom.plans import DIRECTION_FEATURES, PRICE_FEATURES
 from barloom.schema import staged
 from barloom.testdata import orders_bars
@@ -84,28 +85,69 @@ def test_symbols_without_train_rows_are_reported(make_bars):
     assert fitted.skipped == {"B": "0 train rows, 2 needed", "C": "0 train rows, 2 needed"}
 
 
-def test_gradient_is_the_derivative():
+@pytest.mark.parametrize("kernel", [GatedCells(2, 4), GatedCells(1, 3), FactorPairs(4, 0.3)])
+def test_gradient_is_the_derivative(kernel):
     rng = np.random.default_rng(0)
-    shapes = net.layer_shapes(3, 2, 4)
-    size = sum(math.prod(s) for _, s in shapes)
+    shapes = kernel.shapes(3)
+    size = len(kernel.start(3, 0))
+    assert size == sum(math.prod(s) for _, s in shapes)
     theta = rng.normal(size=size) * 0.5
     x, y = rng.normal(size=(6, 3)), rng.normal(size=6)
 
     def loss(t):
-        out, _ = net.forward(net._views(t, shapes), x)
+        out, _ = kernel.forward(views(t, shapes), x)
         return np.mean((out - y) ** 2)
 
     grad = np.zeros(size)
-    out, cache = net.forward(net._views(theta, shapes), x)
-    net.backward(net._views(theta, shapes), cache, 2 * (out - y) / 6, net._views(grad, shapes))
-    for i in range(0, size, 7):
+    params = views(theta, shapes)
+    out, cache = kernel.forward(params, x)
+    kernel.backward(params, cache, 2 * (out - y) / 6, views(grad, shapes))
+    for i in range(size):
         step = np.zeros(size)
         step[i] = 1e-6
         slope = (loss(theta + step) - loss(theta - step)) / 2e-6
         assert grad[i] == pytest.approx(slope, abs=1e-7)
 
 
-def test_gated_net(features, spread):
+def test_cell_is_an_lstm_cell_of_one_step():
+    """Against the full cell equations, with forget gate and recurrent terms."""
+    rng = np.random.default_rng(1)
+    kernel = GatedCells(1, 5)
+    params = views(rng.normal(size=len(kernel.start(3, 0))), kernel.shapes(3))
+    x, h0, c0 = rng.normal(size=(4, 3)), np.zeros((4, 5)), np.zeros((4, 5))
+    weight, bias, head, head_bias = params
+    recurrent, w_f = rng.normal(size=(5, 20)), rng.normal(size=(3, 5))
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    r_i, r_g, r_o, r_f = np.split(h0 @ recurrent, 4, axis=1)
+    z_i, z_g, z_o = np.split(x @ weight + bias, 3, axis=1)
+    c = sigmoid(x @ w_f + r_f) * c0 + sigmoid(z_i + r_i) * np.tanh(z_g + r_g)
+    h = sigmoid(z_o + r_o) * np.tanh(c)
+    out, _ = kernel.forward(params, x)
+    assert out == pytest.approx((h @ head + head_bias)[:, 0])
+
+
+def test_factor_pairs_is_the_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    kernel = FactorPairs(3)
+    bias, linear, factors = params = views(rng.normal(size=17), kernel.shapes(4))
+    x = rng.normal(size=4)
+    pairs = sum(factors[i] @ factors[j] * x[i] * x[j] for j in range(4) for i in range(j))
+    out, _ = kernel.forward(params, x[None])
+    assert out[0] == pytest.approx(bias[0] + linear @ x + pairs)
+
+
+def test_factorization_in_one_job(features, spread):
+    fitted = fit_factorization(features, PRICE_FEATURES)
+    preds = plans.predictions(fitted.predictions, "fm", "actual", "predicted")
+    _check(preds, features, spread)
+    one_by_one = fit_per_symbol(features, factorization(PRICE_FEATURES, 0.03), scale_label=True)
+    other = op.rmse(score_per_symbol(one_by_one.models, features, "fm")).collect()
+    other = {r.Stock: r.value for r in other}
+    for r in op.rmse(preds).collect():
+        assert r.value < 1.5 * other[r.Stock]
+
+
+def test_gated_net(spark, features, spread, tmp_path):
     options = {"hidden": 16, "epochs": 30, "lr": 5e-3, "batch": 16}
     fitted = fit_gated_net(features, PRICE_FEATURES, **options)
     preds = plans.predictions(fitted.predictions, "net", "actual", "predicted")
@@ -116,8 +158,11 @@ def test_gated_net(features, spread):
     assert all(r.rmse == pytest.approx(math.sqrt(r.loss)) for r in history)
     assert history[29].loss < history[0].loss
 
-    shapes = net.layer_shapes(len(PRICE_FEATURES), 2, 16)
+    shapes = GatedCells(2, 16).shapes(len(PRICE_FEATURES))
+    fitted.parameters.write.parquet(str(tmp_path / "parameters"))
+    stored = spark.read.parquet(str(tmp_path / "parameters"))
     table = fitted.parameters.filter(F.col("Stock") == history[0].Stock).collect()
+    assert sorted(stored.collect()) == sorted(fitted.parameters.collect())
     assert [(r.name, tuple(r.shape)) for r in table] == shapes
     assert all(len(r["values"]) == math.prod(r.shape) for r in table)
 
