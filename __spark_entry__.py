@@ -312,6 +312,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             testdata.orders_bars, lambda b: op.corr_pairs(b, COLUMNS, upper=True, digits=3), same
         ),
         "histogram": _on(testdata.orders_bars, lambda b: op.histogram(b, COLUMNS, 20), same),
+        "density": _on(
+            testdata.orders_bars,
+            lambda b: _rounded(_rounded(op.density(b, COLUMNS, 25, 64), "x"), "density", 12),
+            same,
+        ),
         "bins2d": _on(testdata.brand_bars, lambda b: op.bins2d(b, COLUMNS, 8), same),
         # prediction errors and reports, on predictions that need no model
         "predictions": _orders(_naive),
@@ -329,6 +334,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             testdata.brand_bars, lambda b: _rounded(op.auc(_direction_scores(b)), digits=9), same
         ),
         "describe": _describe,
+        "prediction_lookup": _orders(
+            lambda b: sources.lookup(_naive(b), "2-HIGH", "2000-01-01")
+        ),
         "leaderboard": _on(
             testdata.orders_bars,
             lambda b: _rounded(plans.leaderboard(_errors(b)), digits=2),
@@ -520,6 +528,28 @@ def _histogram_sql(bins: int) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _density_sql(bins: int, points: int) -> str:
+    parts = []
+    for c in COLUMNS:
+        parts.append(
+            f"""SELECT "Stock", '{c}' AS "column", "{c}" AS v, stddev_samp("{c}") OVER p
+                  * pow(count(*) OVER p, -0.2::DOUBLE) AS h, count(*) OVER p AS total,
+                min("{c}") OVER p AS lo, max("{c}") OVER p AS hi,
+                {_bin_sql(c, bins)} AS bin FROM b WINDOW p AS (PARTITION BY "Stock")"""
+        )
+    return f"""
+WITH b AS ({ORDERS_BARS}), v AS ({" UNION ALL ".join(parts)}),
+n AS (SELECT "Stock", "column", bin, min(h) AS h, min(total) AS total, min(lo) AS lo,
+             min(hi) AS hi, count(*) AS n FROM v WHERE hi > lo GROUP BY 1, 2, 3),
+g AS (SELECT *, lo + (bin + 0.5::DOUBLE) * (hi - lo) / {bins} AS c,
+             lo + i * ((hi - lo) / {points - 1}) AS x
+      FROM n, range({points}) AS r(i))
+SELECT "Stock", "column", round(min(x), 6) AS x,
+       round(sum(n * exp(-((x - c) / h) * ((x - c) / h) / 2) / (total * h * sqrt(2 * pi()))), 12)
+         AS density
+FROM g GROUP BY "Stock", "column", i"""
+
+
 def _bins2d_sql(bins: int) -> str:
     binned = ", ".join(f'{_bin_sql(c, bins)} AS "{c}"' for c in COLUMNS)
     parts = [
@@ -647,6 +677,7 @@ FROM ({RAW_ORDERS}) AS r GROUP BY 1""",
         "corr_pairs": _with_bars(_corr_cells(False, 9), BRAND_BARS),
         "corr_upper": _with_bars(_corr_cells(True, 3)),
         "histogram": _with_bars(_histogram_sql(20)),
+        "density": _density_sql(64, 25),
         "bins2d": _bins2d_sql(8),
         "predictions": _naive_sql(ORDERS_BARS),
         "rmse": _error_sql("rmse"),
@@ -661,6 +692,9 @@ FROM ({_direction_sql(ORDERS_BARS)}) AS f WHERE NOT is_train GROUP BY 1, 2""",
 SELECT p.*, t.description FROM ({_naive_sql(BRAND_BARS, ["SMA"])}) AS p
 LEFT JOIN (SELECT p_brand, max(p_type) AS description FROM part GROUP BY 1) AS t
 ON p."Stock" = t.p_brand""",
+        "prediction_lookup": f"""
+SELECT * FROM ({_naive_sql(ORDERS_BARS)}) AS p
+WHERE "Stock" = '2-HIGH' AND "Date" >= DATE '2000-01-01'""",
         "leaderboard": f"""
 WITH p AS ({_naive_sql(ORDERS_BARS)}),
 e AS (SELECT model, "Stock", avg((predicted - actual) * (predicted - actual)) AS v

@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from ..schema import DAY, KEY, TIME, epoch_seconds
 
 CHUNK_DAYS = 1024
-CHUNK, HOME, SEC = "_chunk", "_home", "_sec"
-INDEX_PREFIXES = ("_rows_", "_prev_", "_sum_", "_count_")
+CHUNK, HOME, SEC, POS = "_chunk", "_home", "_sec", "_pos"
 
 
 def chunk_of(seconds: Column, chunk_days: int) -> Column:
@@ -102,27 +101,27 @@ def chunk_index(
     return per_chunk.select(*out)
 
 
-def attach(df: DataFrame, index: DataFrame, key: str = KEY) -> DataFrame:
-    """Join the index to opened rows.
+def attach(
+    df: DataFrame, index: DataFrame, lagged: list[str] | None = None, key: str = KEY
+) -> DataFrame:
+    """Join the index to home rows; the last step, so call it after the chunk's windows.
 
-    No broadcast hint: Spark broadcasts the index when its size is under the
-    session's threshold and otherwise joins on ``(key, _chunk)``, the
-    partitioning the chunk windows already need.
+    Positions inside the chunk (``_pos``) and the ``lagged`` columns are taken before the
+    join, while the rows still lie in time order. No broadcast hint: Spark broadcasts the
+    index when its size is under the session's threshold and otherwise merges on
+    ``(key, _chunk)``, for which the rows are already partitioned and sorted.
     """
-    return df.join(index, [key, CHUNK])
-
-
-def previous(col: str, key: str = KEY) -> Column:
-    """The value of the preceding bar, for home rows with ``col`` in the attached index."""
     rows = by_time(key)
-    first = F.row_number().over(rows) == 1
-    return F.when(first, F.col(f"_prev_{col}")).otherwise(F.lag(col).over(rows))
+    columns = {POS: F.row_number().over(rows)}
+    columns |= {f"_lag_{c}": F.lag(c).over(rows) for c in lagged or []}
+    return df.withColumns(columns).join(index, [key, CHUNK])
 
 
-def row_number(key: str = KEY) -> Column:
-    """Position in the symbol's whole history, for home rows with an attached index."""
-    return F.row_number().over(by_time(key)) + F.col("_rows_before")
+def previous(col: str) -> Column:
+    """The value of the preceding bar, for a ``lagged`` column that is in the index too."""
+    return F.when(F.col(POS) == 1, F.col(f"_prev_{col}")).otherwise(F.col(f"_lag_{col}"))
 
 
-def drop_index(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(INDEX_PREFIXES)])
+def row_number() -> Column:
+    """Position in the symbol's whole history, for rows with an attached index."""
+    return F.col(POS) + F.col("_rows_before")

@@ -6,6 +6,7 @@ the output is bounded by symbols x columns x bins.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -119,6 +120,49 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 10, key: str = KEY) ->
     )
 
 
+def density(
+    df: DataFrame,
+    cols: list[str],
+    points: int = 50,
+    bins: int = 256,
+    key: str = KEY,
+) -> DataFrame:
+    """Gaussian kernel density per ``(key, column, x)`` at ``points`` even steps.
+
+    Rows are first counted in ``bins`` bins and each bin weighs its centre (linear cost;
+    Wand, 1994), so the kernel is evaluated ``bins * points`` times per column however many
+    rows there are. Bandwidth by Scott's rule, ``sd * n^(-1/5)``; a constant column has none
+    and is left out.
+    """
+    counts = histogram(df, cols, bins, key)
+    centre = F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins
+    spread = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.stddev_samp(c).alias("sd"),
+                   F.count(F.lit(1)).alias("total")) for c in cols]
+    )
+    width = (
+        df.na.drop(subset=cols)
+        .groupBy(key)
+        .agg(spread.alias("_c"))
+        .select(key, F.explode("_c").alias("_c"))
+        .select(key, "_c.column", (F.col("_c.sd") * F.pow("_c.total", F.lit(-0.2))).alias("h"),
+                "_c.total")
+    )
+    step = (F.col("hi") - F.col("lo")) / (points - 1)
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
+    rows = counts.filter("hi > lo").join(width, [key, "column"])
+    rows = rows.select(key, "column", "n", "h", "total", centre.alias("c"), "lo", step.alias("s"), grid)
+    x = F.col("lo") + F.col("i") * F.col("s")
+    z = (x - F.col("c")) / F.col("h")
+    norm = F.col("total") * F.col("h") * math.sqrt(2 * math.pi)
+    return (
+        rows.select(key, "column", "i", x.alias("x"), (F.col("n") * F.exp(-z * z / 2) / norm).alias("d"))
+        .groupBy(key, "column", "i")
+        .agg(F.min("x").alias("x"), F.sum("d").alias("density"))
+        .drop("i")
+    )
+
+
 def bins2d(df: DataFrame, cols: list[str], bins: int = 10, key: str = KEY) -> DataFrame:
     """Counts per ``(key, col_x, col_y, bin_x, bin_y)``: a scatter plot of bounded size."""
     rows = df.na.drop(subset=cols)

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schema import KEY, TIME
-from .chunks import CHUNK_DAYS, attach, chunk_index, home_rows, open_chunks, row_number
+from .chunks import CHUNK_DAYS, attach, chunk_index, open_chunks, row_number
 
 BLOCK_ROWS = 4096
 
@@ -30,14 +30,13 @@ def sequence_features(
     if k == 1:
         return df.withColumn(out, F.array(F.struct(*cols)))
     index = chunk_index(df, key=key, time=time, chunk_days=chunk_days)
-    rows = home_rows(attach(open_chunks(df, 0, time, chunk_days), index, key))
-    rows = rows.select(*df.columns, (row_number(key) - 1).alias("_pos"))
+    rows = attach(open_chunks(df, 0, time, chunk_days), index, key=key)
+    rows = rows.select(*df.columns, (row_number() - 1).alias("_at"))
 
     width = max(block_rows, 2 * k)
-    block = F.floor(F.col("_pos") / width)
-    last_seen = F.floor((F.col("_pos") + (k - 1)) / width)
-    rows = rows.withColumns({"_own": block})
+    last_seen = F.floor((F.col("_at") + (k - 1)) / width)
+    rows = rows.withColumn("_own", F.floor(F.col("_at") / width))
     rows = rows.withColumn("_block", F.explode(F.sequence("_own", last_seen)))
-    frame = W.partitionBy(key, "_block").orderBy("_pos").rowsBetween(-(k - 1), 0)
+    frame = W.partitionBy(key, "_block").orderBy("_at").rowsBetween(-(k - 1), 0)
     rows = rows.withColumn(out, F.collect_list(F.struct(*cols)).over(frame))
     return rows.filter(F.col("_own") == F.col("_block")).select(*df.columns, out)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hash_unit
 from ..schema import KEY, TIME
-from .chunks import CHUNK_DAYS, attach, chunk_index, close_chunks, open_chunks, row_number
+from .chunks import CHUNK_DAYS, attach, chunk_index, open_chunks, row_number
 
 
 def train_rows(total, train: float):
@@ -26,12 +26,12 @@ def time_split(
 ) -> DataFrame:
     """Flag the oldest ``train`` share of each symbol's bars; adds ``rn`` and ``is_train``."""
     index = chunk_index(df, key=key, time=time, chunk_days=chunk_days)
-    rows = attach(open_chunks(df, 0, time, chunk_days), index, key)
-    rows = rows.withColumn("rn", row_number(key))
+    rows = attach(open_chunks(df, 0, time, chunk_days), index, key=key)
+    rows = rows.withColumn("rn", row_number())
     rows = rows.withColumn(
         "is_train", F.col("rn") <= train_rows(F.col("_rows_total"), train)
     )
-    return close_chunks(rows).select(*df.columns, "rn", "is_train")
+    return rows.select(*df.columns, "rn", "is_train")
 
 
 def hash_split(

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from ..schema import DAY, KEY, TIME
 from .chunks import (
+    CHUNK,
     CHUNK_DAYS,
     attach,
     by_time,
     chunk_index,
     close_chunks,
-    drop_index,
     is_open,
     open_chunks,
     previous,
@@ -28,6 +28,19 @@ def _trailing(df, lookback_days, time, chunk_days, columns):
     return close_chunks(opened.withColumns(columns))
 
 
+def _running(value, rows, days, until, one=1):
+    """Mean over ``[t - days, t - until]`` as a difference of two running sums.
+
+    One pass over the rows, where a sliding frame is added up anew for each row. Only for
+    exact ``value`` types: with doubles the difference would lose digits.
+    """
+    upto = rows.rangeBetween(W.unboundedPreceding, -until * DAY)
+    older = rows.rangeBetween(W.unboundedPreceding, -days * DAY - 1)
+    total = F.sum(value).over(upto) - F.coalesce(F.sum(value).over(older), F.lit(0))
+    count = F.count(value).over(upto) - F.count(value).over(older)
+    return total.cast("double") / (F.nullif(count, F.lit(0)) * one)
+
+
 def trailing_avg(
     df: DataFrame,
     col: str,
@@ -43,22 +56,16 @@ def trailing_avg(
 
     NULL where the frame is empty (possible only with ``until > 0``).
 
-    ``units`` is for prices quoted in steps of ``1 / units`` (100 for cents) and for
-    frames holding many bars: sums are kept as whole steps, so they are exact and
-    independent of order, and the frame sum is the difference of two running sums,
-    which costs one pass instead of one pass per frame.
+    ``units`` is for frames of many bars (intraday bars, long frames) with prices quoted
+    in steps of ``1 / units`` (100 for cents): whole steps are summed, which is exact in
+    any order, and a frame costs the same however many bars it holds.
     """
     out = out or f"{col}_avg{days}"
     rows = by_time(key)
     if units is None:
         value = F.avg(col).over(rows.rangeBetween(-days * DAY, -until * DAY))
     else:
-        steps = F.round(F.col(col) * units).cast("long")
-        upto = rows.rangeBetween(W.unboundedPreceding, -until * DAY)
-        older = rows.rangeBetween(W.unboundedPreceding, -days * DAY - 1)
-        total = F.sum(steps).over(upto) - F.coalesce(F.sum(steps).over(older), F.lit(0))
-        count = F.count(steps).over(upto) - F.count(steps).over(older)
-        value = total / (F.nullif(count, F.lit(0)) * units)
+        value = _running(F.round(F.col(col) * units).cast("long"), rows, days, until, units)
     return _trailing(df, days, time, max(chunk_days, 2 * days), {out: value})
 
 
@@ -69,14 +76,23 @@ def mean_deviation(
     days: int = 14,
     until: int = 0,
     out: str = "MD14",
+    running: bool = False,
     key: str = KEY,
     time: str = TIME,
     chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
-    """Trailing mean of ``|col - mean|``, each row measured against its own mean."""
-    frame = by_time(key).rangeBetween(-days * DAY, -until * DAY)
-    value = F.avg(F.abs(F.col(col) - F.col(mean))).over(frame)
-    return _trailing(df, days, time, chunk_days, {out: value})
+    """Trailing mean of ``|col - mean|``, each row measured against its own mean.
+
+    ``running`` is for frames of many bars: deviations are summed as decimals of twelve
+    places, at a cost that does not grow with the frame.
+    """
+    rows = by_time(key)
+    deviation = F.abs(F.col(col) - F.col(mean))
+    if running:
+        value = _running(deviation.cast("decimal(28,12)"), rows, days, until)
+    else:
+        value = F.avg(deviation).over(rows.rangeBetween(-days * DAY, -until * DAY))
+    return _trailing(df, days, time, max(chunk_days, 2 * days), {out: value})
 
 
 def direction_target(
@@ -88,10 +104,9 @@ def direction_target(
 ) -> DataFrame:
     """1 where Close rose against the previous bar, else 0 (first bar and ties: 0)."""
     index = chunk_index(df, last=["Close"], key=key, time=time, chunk_days=chunk_days)
-    rows = attach(open_chunks(df, 0, time, chunk_days), index, key)
-    rose = previous("Close", key) < F.col("Close")
-    rows = rows.withColumn(out, F.when(rose, 1).otherwise(0))
-    return drop_index(close_chunks(rows)).select(*df.columns, out)
+    rows = attach(open_chunks(df, 0, time, chunk_days), index, ["Close"], key)
+    rose = previous("Close") < F.col("Close")
+    return rows.withColumn(out, F.when(rose, 1).otherwise(0)).select(*df.columns, out)
 
 
 def relative_volume(
@@ -107,7 +122,7 @@ def relative_volume(
     index = chunk_index(
         df, totals={"volume": volume}, key=key, time=time, chunk_days=chunk_days
     )
-    rows = attach(open_chunks(df, 0, time, chunk_days), index, key)
+    rows = open_chunks(df, 0, time, chunk_days).join(index, [key, CHUNK])
     mean = F.col("_sum_volume") / F.nullif(F.col("_count_volume"), F.lit(0))
     rows = rows.withColumn(out, F.col("Volume") / F.nullif(mean, F.lit(0.0)))
     return rows.select(*df.columns, *([] if out in df.columns else [out]))

@@ -11,7 +11,6 @@ from ..operators.chunks import (
     CHUNK_DAYS,
     attach,
     chunk_index,
-    close_chunks,
     home_rows,
     open_chunks,
     previous,
@@ -70,12 +69,13 @@ def price_features(
     thirds = 3 * units if units else None  # TP is a third of a sum of prices
     rows = trailing_avg(rows, "Close", days, until, out="SMA", units=units, **at)
     rows = trailing_avg(rows, "TP", days, until, out="DTP14", units=thirds, **at)
-    rows = mean_deviation(rows, "TP", "DTP14", days, until, out="MD14", **at)
+    running = units is not None
+    rows = mean_deviation(rows, "TP", "DTP14", days, until, out="MD14", running=running, **at)
 
-    rows = attach(home_rows(rows), index, key)
-    rows = rows.withColumn("rn", row_number(key))
+    rows = attach(home_rows(rows), index, lagged if until else None, key)
+    rows = rows.withColumn("rn", row_number())
     if until:
-        rows = rows.withColumns({c: previous(c, key) for c in lagged})
+        rows = rows.withColumns({c: previous(c) for c in lagged})
     mean_volume = F.col("_sum_volume") / F.nullif(F.col("_count_volume"), F.lit(0))
     rows = rows.withColumns(
         {
@@ -98,15 +98,15 @@ def direction_features(
     """``Stock, Date, <DIRECTION_FEATURES>, Close, target, rn, is_train`` for cleaned bars."""
     rows = date_parts(spreads(bars), time)
     index = chunk_index(rows, last=["Close"], key=key, time=time, chunk_days=chunk_days)
-    rows = attach(open_chunks(rows, 0, time, chunk_days), index, key)
+    rows = attach(open_chunks(rows, 0, time, chunk_days), index, ["Close"], key)
     rows = rows.withColumns(
         {
-            "target": F.when(previous("Close", key) < F.col("Close"), 1).otherwise(0),
-            "rn": row_number(key),
+            "target": F.when(previous("Close") < F.col("Close"), 1).otherwise(0),
+            "rn": row_number(),
         }
     )
     rows = rows.withColumn("is_train", F.col("rn") <= train_rows(F.col("_rows_total"), train))
-    return close_chunks(rows).select(
+    return rows.select(
         key, time, *DIRECTION_FEATURES, "Close", "target", "rn", "is_train"
     )
 

@@ -58,3 +58,14 @@ def test_scans_read_only_what_is_needed(spark, sf_dir):
 def test_symbol_filter_reaches_the_scan(spark, sf_dir):
     plan = plan_of(op.only_symbols(orders_bars(spark, sf_dir), ["1-URGENT", "5-LOW"]))
     assert "In(o_orderpriority" in plan
+
+
+def test_price_features_sort_the_bars_once(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(plans.price_features(spark.read.parquet(_stored(spark, sf_dir))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The rows are sorted for the first window only; its order serves the others and the merge.
+    assert len(re.findall(r"Sort \[Stock#\d+ ASC NULLS FIRST, _chunk#\d+L ASC NULLS FIRST, _sec", plan)) == 1
+    assert "SortAggregate" not in plan

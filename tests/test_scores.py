@@ -95,6 +95,20 @@ def test_histogram_and_scatter_bins(spark):
     assert [[grid.get((i, j), 0) for j in range(7)] for i in range(7)] == want.tolist()
 
 
+def test_density(spark):
+    rng = np.random.default_rng(5)
+    data = rng.gamma(2.0, size=400)
+    rows = [("A", float(v), 1.0) for v in data]
+    df = spark.createDataFrame(rows, "Stock string, x double, k double")
+    got = op.density(df, ["x", "k"], points=40, bins=512).orderBy("x").collect()
+    assert len(got) == 40 and {r.column for r in got} == {"x"}
+    h = data.std(ddof=1) * len(data) ** -0.2
+    for r in got:
+        exact = np.mean(np.exp(-(((r.x - data) / h) ** 2) / 2)) / (h * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(exact, abs=2e-4)
+    assert [got[0].x, got[-1].x] == pytest.approx([data.min(), data.max()])
+
+
 def test_leaderboard_and_suggestions(spark):
     metrics = spark.createDataFrame(
         [("a", "X", "rmse", 2.0), ("b", "X", "rmse", 1.0), ("a", "X", "auc", 0.9),

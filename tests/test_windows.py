@@ -114,6 +114,20 @@ def test_mean_deviation_uses_each_rows_own_mean(make_bars):
         assert row[3] == pytest.approx(np.mean(own[: i + 1]))
 
 
+def test_running_sums_agree_with_frames(make_bars):
+    rng = np.random.default_rng(7)
+    days = sorted(rng.choice(600, 300, replace=False).tolist())
+    bars = make_bars([(s, d, float(rng.integers(400, 5000)) / 100) for s in "AB" for d in days])
+    for mode in ("same_day", "next_day"):
+        plain = plans.price_features(bars, mode).orderBy("Stock", "Date").collect()
+        quick = plans.price_features(bars, mode, units=100, chunk_days=90)
+        quick = quick.orderBy("Stock", "Date").collect()
+        assert len(plain) == len(quick) > 500
+        for a, b in zip(plain, quick):
+            assert (a.Stock, a.Date, a.is_train) == (b.Stock, b.Date, b.is_train)
+            assert a[2:-1] == pytest.approx(b[2:-1], rel=1e-9, abs=1e-9)
+
+
 def test_one_row_symbol(make_bars):
     row = plans.price_features(make_bars([("A", 0, 10.0)])).first()
     assert row.SMA == 10.0 and row.MD14 == 0.0 and row.is_train is False and row.Volume == 1.0
