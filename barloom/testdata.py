@@ -23,14 +23,12 @@ def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     rows = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.withColumn("ts", F.col("l_shipdate").cast("timestamp"))
-    # Order, line, part and supplier number as one number: together unique within a bar.
+    # Order, line and part number, unique within a bar, as one number.
     order = F.expr(
-        "CAST(l_orderkey AS DECIMAL(13,0)) * CAST(1e22 AS DECIMAL(23,0)) "
-        "+ CAST(l_linenumber AS DECIMAL(3,0)) * CAST(1e20 AS DECIMAL(21,0)) "
-        "+ CAST(l_partkey AS DECIMAL(10,0)) * CAST(1e10 AS DECIMAL(11,0)) "
-        "+ CAST(l_suppkey AS DECIMAL(10,0))"
+        "CAST(l_orderkey * 10 + l_linenumber AS DECIMAL(19,0)) * CAST(1e19 AS DECIMAL(20,0)) "
+        "+ CAST(l_partkey AS DECIMAL(19,0))"
     )
-    return to_bars(rows, "p_brand", "ts", "l_extendedprice", order)
+    return to_bars(rows.withColumn("pos", order), "p_brand", "ts", "l_extendedprice", "pos")
 
 
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

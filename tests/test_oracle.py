@@ -9,6 +9,14 @@ import pytest
 
 import __spark_entry__ as entry
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+}
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -35,11 +43,13 @@ def _rows(columns, rows):
 def test_matches_sql(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+    assert dict(df.dtypes) == {row[0]: SPARK_TYPES[row[1]] for row in described}
     result = duck.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     want = _rows(names, result.fetchall())
     assert sorted(df.columns) == sorted(names)
-    assert len(got) > 0 or name in ()
+    assert got
     assert got == want
 
 
