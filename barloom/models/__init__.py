@@ -6,5 +6,6 @@ from .per_symbol import (  # noqa: F401
     load_models,
     save_models,
     score_per_symbol,
+    write_scores,
 )
 from .shards import ShardFit, fit_factorization, fit_gated_net  # noqa: F401

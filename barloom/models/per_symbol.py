@@ -108,12 +108,16 @@ def fit_per_symbol(
     todo = sorted(s for s in wanted if s not in skipped)
     if not todo:
         return Fitted({}, skipped)
-    pool = ThreadPool(min(parallelism, len(todo)))
+    return Fitted(dict(_in_threads(df.sparkSession, fit, todo, parallelism)), skipped)
+
+
+def _in_threads(spark: SparkSession, task, items: list, parallelism: int) -> list:
+    """Submit Spark jobs for several symbols at once."""
+    pool = ThreadPool(min(parallelism, len(items)))
     try:
-        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), todo, chunksize=1)
+        return pool.map(inheritable_thread_target(spark)(task), items, chunksize=1)
     finally:
         pool.close()
-    return Fitted(dict(fitted), skipped)
 
 
 def score_per_symbol(
@@ -124,15 +128,44 @@ def score_per_symbol(
     key: str = KEY,
     time: str = TIME,
 ) -> DataFrame:
-    """Prediction table of the test rows (``is_train`` false) of every fitted symbol."""
-    test = df.filter(~F.col("is_train"))
+    """Prediction table of the test rows (``is_train`` false) of every fitted symbol.
+
+    One plan branch per symbol, so for a short list; ``write_scores`` has no such limit.
+    """
     parts = [
-        predictions(model.transform(test.filter(F.col(key) == symbol)), name, label, key=key, time=time)
+        _score(model, df, name, label, symbol, key, time)
         for symbol, model in sorted(models.items())
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _score(model, df, name, label, symbol, key, time) -> DataFrame:
+    test = df.filter((F.col(key) == symbol) & ~F.col("is_train"))
+    return predictions(model.transform(test), name, label, key=key, time=time)
+
+
+def write_scores(
+    models: dict[str, PipelineModel],
+    df: DataFrame,
+    name: str,
+    path: str,
+    label: str = "label",
+    parallelism: int = 8,
+    key: str = KEY,
+    time: str = TIME,
+) -> DataFrame:
+    """The same table, written to ``path`` as one folder per symbol, and read back."""
+    spark = df.sparkSession
+
+    def write(symbol: str) -> None:
+        scored = _score(models[symbol], df, name, label, symbol, key, time).drop(key)
+        scored.write.mode("overwrite").parquet(f"{path}/{key}={quote(symbol, safe='')}")
+
+    _in_threads(spark, write, sorted(models), parallelism)
+    schema = _score(next(iter(models.values())), df, name, label, "", key, time).schema
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def _folder(path: str, symbol: str) -> str:
     return f"{path}/models/{quote(symbol, safe='')}"
 

@@ -154,7 +154,7 @@ def fit_in_shards(
         else:
             trained = (
                 rows.groupBy(*group)
-                .cogroup(_for_shards(state, key).groupBy(*group))
+                .cogroup(_for_shards(state, "_shards").groupBy(*group))
                 .applyInPandas(_with_state(shard, empty), schema)
             )
         trained = cut_lineage(trained)
@@ -210,7 +210,7 @@ def _alone(shard):
 
 
 def _with_state(shard, columns):
-    """A shard with its symbol's state; a shard of test rows only has nothing to train."""
+    """A shard with its symbol's state; a shard no row fell into has nothing to train."""
     return lambda pdf, states: (
         pd.DataFrame(columns=columns) if pdf.empty else shard(pdf, states.iloc[0])
     )
@@ -219,7 +219,10 @@ def _with_state(shard, columns):
 def _standardised(df, features, label, scale_label, shard_rows, key, time):
     """Checkpointed rows with standardised arrays; most shards of a symbol, shards in all."""
     train = F.col("is_train")
-    aggs = [F.count(F.when(train, 1)).alias("_n_train")]
+    aggs = [
+        F.count(F.when(train, 1)).alias("_n_train"),
+        F.count(F.when(~train, 1)).alias("_n_test"),
+    ]
     for i, c in enumerate([*features, label]):
         value = F.when(train, F.col(c).cast("double"))
         aggs += [F.avg(value).alias(f"_m{i}"), F.stddev_pop(value).alias(f"_s{i}")]
@@ -230,6 +233,8 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
     mean, spread = (F.col(f"_m{n}"), sd[n]) if scale_label else (F.lit(0.0), F.lit(1.0))
     actual = F.col(label).cast("double")
     n_shards = F.ceil(F.col("_n_train") / shard_rows).cast("int")
+    n_test_shards = F.ceil(F.col("_n_test") / shard_rows).cast("int")
+    own_shards = F.when(train, n_shards).otherwise(n_test_shards)
     data = df.join(stats.filter("_n_train > 0"), key).select(
         key,
         time,
@@ -241,7 +246,8 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
         mean.alias("_mean"),
         spread.alias("_sd"),
         n_shards.alias("_shards"),
-        F.pmod(F.xxhash64(key, epoch_seconds(time)), n_shards).cast("int").alias("_shard"),
+        n_test_shards.alias("_test_shards"),
+        F.pmod(F.xxhash64(key, epoch_seconds(time)), own_shards).cast("int").alias("_shard"),
     )
     data = cut_lineage(data)
     sizes = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
@@ -249,9 +255,10 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
     return data, most or 1, total or 1
 
 
-def _for_shards(state: DataFrame, key: str) -> DataFrame:
+def _for_shards(state: DataFrame, count: str) -> DataFrame:
     """The common state of a symbol, once per shard."""
-    return state.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)))
+    shards = F.sequence(F.lit(0), F.col(count) - 1)
+    return state.filter(F.col(count) > 0).withColumn("_shard", F.explode(shards))
 
 
 def _averaged(trained: DataFrame, data: DataFrame, key: str) -> DataFrame:
@@ -261,7 +268,9 @@ def _averaged(trained: DataFrame, data: DataFrame, key: str) -> DataFrame:
         Summarizer.mean(array_to_vector("_state"), weight).alias("_state"),
         F.max("_step").alias("_step"),
     )
-    shards = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
+    shards = data.groupBy(key).agg(
+        F.max("_shards").alias("_shards"), F.max("_test_shards").alias("_test_shards")
+    )
     return means.join(shards, key).withColumn("_state", vector_to_array("_state"))
 
 
@@ -299,7 +308,7 @@ def _predictions(data, state, kernel, n_inputs, key, time) -> DataFrame:
             }
         )
 
-    states = _for_shards(state, key).select(*group, "_state").groupBy(*group)
+    states = _for_shards(state, "_test_shards").select(*group, "_state").groupBy(*group)
     return test.groupBy(*group).cogroup(states).applyInPandas(score, schema)
 
 

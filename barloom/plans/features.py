@@ -16,7 +16,7 @@ from ..operators.chunks import (
     previous,
     row_number,
 )
-from ..operators.split import train_rows
+from ..operators.split import time_split, train_rows
 from ..operators.trailing import mean_deviation, trailing_avg
 from ..schema import KEY, TIME
 
@@ -36,6 +36,7 @@ def price_features(
     train: float = 0.7,
     days: int = FRAME_DAYS,
     units: int | None = None,
+    train_only_volume: bool = False,
     key: str = KEY,
     time: str = TIME,
     chunk_days: int = CHUNK_DAYS,
@@ -46,26 +47,25 @@ def price_features(
     together give that close away, so errors are not forecast errors).
     ``next_day``: only what was known the day before. Prices, TP and volume are the
     previous bar's and frames end a day earlier; bars without a full set are left out.
-    The train flag counts all bars in both modes. Volume is relative to the symbol's mean.
+    The train flag counts all bars in both modes. Volume is relative to the symbol's mean,
+    over all its bars or, with ``train_only_volume``, over those it trains on.
     ``units`` as in ``trailing_avg``: give it for intraday bars, whose frames are long.
     """
     if mode not in ("same_day", "next_day"):
         raise ValueError(f"mode must be 'same_day' or 'next_day', not {mode!r}")
     until = 0 if mode == "same_day" else 1
     lagged = ["Open", "High", "Low", "Volume", "TP"]
+    at = {"key": key, "time": time, "chunk_days": chunk_days}
 
     rows = date_parts(typical_price(bars), time)
+    counted, volume = rows, F.col("Volume")
+    if train_only_volume:
+        counted, volume = time_split(rows, train, **at), F.when(F.col("is_train"), volume)
     index = chunk_index(
-        rows,
-        last=lagged if until else None,
-        totals={"volume": F.col("Volume")},
-        key=key,
-        time=time,
-        chunk_days=chunk_days,
+        counted, last=lagged if until else None, totals={"volume": volume}, **at
     )
     # MD14 averages deviations that are themselves trailing: two frames of lookback.
     rows = open_chunks(rows, 2 * days, time, chunk_days)
-    at = {"key": key, "time": time, "chunk_days": chunk_days}
     thirds = 3 * units if units else None  # TP is a third of a sum of prices
     rows = trailing_avg(rows, "Close", days, until, out="SMA", units=units, **at)
     rows = trailing_avg(rows, "TP", days, until, out="DTP14", units=thirds, **at)

@@ -87,7 +87,8 @@ def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     With ``partition_by`` a later equality filter on that column reads only its
-    own files, which is what a fit per symbol needs.
+    own files, which is what a fit per symbol needs. The table stays in the checkpoint
+    folder and goes when that folder is emptied.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     writer = df.write

@@ -24,14 +24,21 @@ CSV_SCHEMA = _text(["AdjClose" if c == "Adj Close" else c for c in CSV_COLUMNS])
 JSON_SCHEMA = _text(["Stock", "Date", *[c for c in DOUBLES if c != "AdjClose"], *ADJUSTED_NAMES])
 
 
+def _path_part(column: str) -> Column:
+    """Paths in file metadata are URI-encoded, except that a plus stands for itself."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def _symbol_from_file() -> Column:
     """``BRK.B.csv`` gives ``BRK.B``."""
-    return F.regexp_replace(F.col("_metadata.file_name"), r"\.(csv|json|jsonl)$", "")
+    name = _path_part("_metadata.file_name")
+    return F.regexp_replace(name, r"\.(csv|json|jsonl)(\.gz)?$", "")
 
 
 def _symbol_from_folder() -> Column:
     """``.../GT-dataset.json/part-0`` gives ``GT``."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)-dataset\.json/[^/]+$", 1)
+    path = _path_part("_metadata.file_path")
+    return F.regexp_extract(path, r"/([^/]+)-dataset\.json/[^/]+$", 1)
 
 
 def _timestamp(date_format: str | None) -> Column:

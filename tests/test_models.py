@@ -18,6 +18,7 @@ from barloom.models import (
     load_models,
     save_models,
     score_per_symbol,
+    write_scores,
 )
 from barloom.models.kernels import FactorPairs, GatedCells, views
 from barloom.plans import DIRECTION_FEATURES, PRICE_FEATURES
@@ -62,6 +63,8 @@ def test_forest_reload(spark, features, spread, tmp_path):
     again = load_models(spark, path)
     assert set(again) == set(spread)
     assert _sorted(score_per_symbol(again, features, "forest")) == _sorted(preds)
+    written = write_scores(again, features, "forest", str(tmp_path / "scores"))
+    assert written.dtypes == preds.dtypes and _sorted(written) == _sorted(preds)
 
 
 def test_factorization_reload(spark, features, spread, tmp_path):
@@ -77,6 +80,15 @@ def test_factorization_reload(spark, features, spread, tmp_path):
     )
 
 
+def test_assembled_vectors(make_bars):
+    rows = plans.price_features(make_bars([("A", d, 10.0 + d) for d in range(5)]))
+    for r in plans.assemble(rows, PRICE_FEATURES).collect():
+        assert list(r.features) == [float(r[c]) for c in PRICE_FEATURES]
+    with pytest.raises(Exception, match="null"):
+        missing = rows.withColumn("SMA", F.lit(None).cast("double"))
+        plans.assemble(missing, PRICE_FEATURES).collect()
+
+
 def test_symbols_without_train_rows_are_reported(make_bars):
     rows = [("A", d, 10.0 + d % 5) for d in range(30)] + [("B", 0, 5.0)]
     table = staged(plans.price_features(make_bars(rows)), "Stock")

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from barloom import operators as op
@@ -69,3 +70,15 @@ def test_price_features_sort_the_bars_once(spark, sf_dir):
     # The rows are sorted for the first window only; its order serves the others and the merge.
     assert len(re.findall(r"Sort \[Stock#\d+ ASC NULLS FIRST, _chunk#\d+L ASC NULLS FIRST, _sec", plan)) == 1
     assert "SortAggregate" not in plan
+
+
+def test_one_symbol_is_spread_over_tasks(spark, make_bars):
+    bars = make_bars([("HOT", d, 10.0 + d % 9) for d in range(3000)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = plans.price_features(bars, chunk_days=100)
+        sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in sizes) == 3000
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 1500

@@ -55,6 +55,13 @@ def test_clean_drops_null_nan_and_copies(spark, csv_dir):
     assert op.profile(bars).filter("Stock = 'BRK.B'").first().n_duplicates == 1
 
 
+def test_symbols_with_odd_characters(spark, tmp_path):
+    for name in ("^GSPC.csv", "BF-B.csv", "A+B.csv"):
+        (tmp_path / name).write_text(HEADER + "3-1-2000,1,2,100,4,3,3.5\n")
+    bars, _ = sources.read_bars(spark, str(tmp_path))
+    assert sorted(r.Stock for r in bars.collect()) == ["A+B", "BF-B", "^GSPC"]
+
+
 def test_inferred_csv(spark, csv_dir):
     bars, rejects = sources.read_bars(spark, csv_dir + "/BRK.B.csv", infer=True)
     assert bars.schema.simpleString() == BAR_SCHEMA.simpleString()

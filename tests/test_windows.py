@@ -128,6 +128,17 @@ def test_running_sums_agree_with_frames(make_bars):
             assert a[2:-1] == pytest.approx(b[2:-1], rel=1e-9, abs=1e-9)
 
 
+def test_volume_relative_to_train_rows(make_bars):
+    bars = make_bars([("A", d, 10.0) for d in range(10)])
+    rows = plans.price_features(bars, train_only_volume=True).orderBy("Date").collect()
+    volumes = [100.0 + d % 7 for d in range(10)]
+    mean = np.mean(volumes[:7])
+    assert [r.Volume for r in rows] == pytest.approx([v / mean for v in volumes])
+    split = op.time_split(bars)
+    alone = op.relative_volume(split, train_only=True).orderBy("Date").collect()
+    assert [r.Volume for r in alone] == [r.Volume for r in rows]
+
+
 def test_one_row_symbol(make_bars):
     row = plans.price_features(make_bars([("A", 0, 10.0)])).first()
     assert row.SMA == 10.0 and row.MD14 == 0.0 and row.is_train is False and row.Volume == 1.0
