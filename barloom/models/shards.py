@@ -24,14 +24,13 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import KEY, TIME, cut_lineage, epoch_seconds
+from ..schema import KEY, TIME, cut_lineage, epoch_seconds, staged
 from .kernels import FactorPairs, GatedCells, views
 
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_ROWS = 50_000
-MAX_TASKS = 20_000
 ADAM_DECAY = (0.9, 0.999)
 ADAM_EPS = 1e-8
 
@@ -106,17 +105,22 @@ def fit_in_shards(
     batch; its accuracy compares both sides of ``threshold`` in label units.
     """
     n_inputs = len(features)
-    data, shards, groups = _standardised(df, features, label, scale_label, shard_rows, key, time)
+    data, shards, groups, n_rows = _standardised(
+        df, features, label, scale_label, shard_rows, key, time
+    )
     group = [key, "_shard"]
-    # Shards are small in bytes but long in compute: a fixed number of partitions, several
-    # per shard against collisions, keeps AQE from merging them into few tasks.
-    tasks = min(4 * groups, MAX_TASKS)
-    rows = data.filter("is_train").select(*group, "_sec", "_x", "_y", "_mean", "_sd")
+    # Shards are small in bytes but long in compute: a fixed number of partitions keeps AQE
+    # from merging them into few tasks. Several per core, and per shard's worth of rows,
+    # against collisions, but no more than can be filled.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(4 * groups, 4 * max(cores, math.ceil(n_rows / shard_rows)))
+    inputs = [f"_x{i}" for i in range(n_inputs)]
+    rows = data.filter("is_train").select(*group, "_sec", *inputs, "_y", "_mean", "_sd")
     rows = rows.repartition(tasks, *group)
 
     def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
         pdf = pdf.sort_values("_sec")
-        x, y = np.stack(pdf["_x"].to_numpy()), pdf["_y"].to_numpy()
+        x, y = pdf[inputs].to_numpy(), pdf["_y"].to_numpy()
         if state is None:
             theta = kernel.start(n_inputs, seed)
             values, step = np.concatenate([theta, np.zeros(2 * len(theta))]), 0
@@ -165,7 +169,7 @@ def fit_in_shards(
     for log in logs[1:]:
         history = history.unionByName(log)
     return ShardFit(
-        _predictions(data, state, kernel, n_inputs, key, time),
+        _predictions(data, state, kernel, inputs, key, time),
         history,
         _parameters(state, kernel.shapes(n_inputs), key),
     )
@@ -217,7 +221,7 @@ def _with_state(shard, columns):
 
 
 def _standardised(df, features, label, scale_label, shard_rows, key, time):
-    """Checkpointed rows with standardised arrays; most shards of a symbol, shards in all."""
+    """A stored table of standardised rows; most shards of a symbol, shards and train rows."""
     train = F.col("is_train")
     aggs = [
         F.count(F.when(train, 1)).alias("_n_train"),
@@ -240,7 +244,7 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
         time,
         "is_train",
         epoch_seconds(time).alias("_sec"),
-        F.array(*scaled).alias("_x"),
+        *[x.alias(f"_x{i}") for i, x in enumerate(scaled)],
         ((actual - mean) / spread).alias("_y"),
         actual.alias("_actual"),
         mean.alias("_mean"),
@@ -249,10 +253,12 @@ def _standardised(df, features, label, scale_label, shard_rows, key, time):
         n_test_shards.alias("_test_shards"),
         F.pmod(F.xxhash64(key, epoch_seconds(time)), own_shards).cast("int").alias("_shard"),
     )
-    data = cut_lineage(data)
-    sizes = data.groupBy(key).agg(F.max("_shards").alias("_shards"))
-    most, total = sizes.agg(F.max("_shards"), F.sum("_shards")).first()
-    return data, most or 1, total or 1
+    data = staged(data)
+    sizes = data.groupBy(key).agg(
+        F.max("_shards").alias("_shards"), F.count(F.when(train, 1)).alias("_n")
+    )
+    most, total, n_rows = sizes.agg(F.max("_shards"), F.sum("_shards"), F.sum("_n")).first()
+    return data, most or 1, total or 1, n_rows or 0
 
 
 def _for_shards(state: DataFrame, count: str) -> DataFrame:
@@ -286,19 +292,19 @@ def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
     )
 
 
-def _predictions(data, state, kernel, n_inputs, key, time) -> DataFrame:
+def _predictions(data, state, kernel, inputs, key, time) -> DataFrame:
     group = [key, "_shard"]
-    shapes = kernel.shapes(n_inputs)
+    shapes = kernel.shapes(len(inputs))
     schema = f"{key} string, {time} timestamp, actual double, predicted double"
     test = data.filter(~F.col("is_train")).select(
-        *group, F.col(time).cast("timestamp").alias(time), "_x", "_actual", "_mean", "_sd"
+        *group, F.col(time).cast("timestamp").alias(time), *inputs, "_actual", "_mean", "_sd"
     )
 
     def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame(columns=[key, time, "actual", "predicted"])
         params = views(np.asarray(states["_state"].iloc[0]), shapes)
-        out, _ = kernel.forward(params, np.stack(pdf["_x"].to_numpy()))
+        out, _ = kernel.forward(params, pdf[inputs].to_numpy())
         return pd.DataFrame(
             {
                 key: pdf[key],

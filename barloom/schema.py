@@ -87,12 +87,14 @@ def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     With ``partition_by`` a later equality filter on that column reads only its
-    own files, which is what a fit per symbol needs. The table stays in the checkpoint
-    folder and goes when that folder is emptied.
+    own files, which is what a fit per symbol needs. Rows are then gathered by value, a
+    large value over several tasks (AQE splits it), so that each has few files. The
+    table stays in the checkpoint folder and goes when that folder is emptied.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        gathered = df.hint("rebalance", F.col(partition_by))
+        gathered.write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
