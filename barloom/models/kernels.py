@@ -1,7 +1,7 @@
 """What a task computes on one block of rows: outputs and gradients, in NumPy.
 
-A kernel names the shapes of its parameters, starts them, and gives ``forward`` and
-``backward`` on views of one flat vector. Sharding, rounds and averaging are Spark's
+A kernel names the shapes and the number type of its parameters, starts them, and gives
+``forward`` and ``backward`` on views of one flat vector. Sharding, rounds and averaging are Spark's
 business (``shards``).
 """
 
@@ -43,6 +43,7 @@ class GatedCells(NamedTuple):
 
     cells: int = 2
     hidden: int = 64
+    dtype: str = "float32"
 
     def shapes(self, inputs: int) -> Shapes:
         """Gates are stacked as input, cell, output."""
@@ -78,7 +79,7 @@ class GatedCells(NamedTuple):
         for layer in reversed(range(len(trace))):
             x, weight, i, g, o, c = trace[layer]
             d_ig = d_h * o * (1 - c * c)
-            d_z = np.empty((len(x), 3 * width))
+            d_z = np.empty((len(x), 3 * width), x.dtype)
             d_z[:, :width] = d_ig * g * i * (1 - i)
             d_z[:, width:-width] = d_ig * i * (1 - g * g)
             d_z[:, -width:] = d_h * c * o * (1 - o)
@@ -93,6 +94,7 @@ class FactorPairs(NamedTuple):
 
     factors: int = 8
     start_sd: float = 0.01
+    dtype: str = "float64"
 
     def shapes(self, inputs: int) -> Shapes:
         return [("bias", (1,)), ("linear", (inputs,)), ("factors", (inputs, self.factors))]

@@ -44,18 +44,19 @@ class ShardFit(NamedTuple):
 def train_shard(kernel, x, y, state, step, lr, batch, epochs, draw, cut):
     """Adam over shuffled batches (all rows at once if ``batch`` is None).
 
-    ``state`` holds the parameters and the two moments and is updated in place. Returns
-    the step count and, per epoch, the sum of squared errors and the number of outputs
-    on the same side of ``cut`` as their target.
+    ``state`` holds the parameters and the two moments. Returns the new state, the step
+    count and, per epoch, the sum of squared errors and the number of outputs on the same
+    side of ``cut`` as their target.
     """
+    x, y, state = (np.array(a, kernel.dtype) for a in (x, y, state))
     rng = np.random.default_rng(draw)
     shapes = kernel.shapes(x.shape[1])
     theta, m, v = np.split(state, 3)
-    grad = np.empty(len(theta))
+    grad = np.empty_like(theta)
     params, grads = views(theta, shapes), views(grad, shapes)
     b1, b2 = ADAM_DECAY
     above = y > cut
-    squared, hits, outputs = [], [], np.empty(len(y))
+    squared, hits, outputs = [], [], np.empty_like(y)
     size = batch or len(y)
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -77,9 +78,9 @@ def train_shard(kernel, x, y, state, step, lr, batch, epochs, draw, cut):
             np.divide(m, grad, out=grad)
             grad *= lr / (1 - b1**step)
             theta -= grad
-        squared.append(float(np.sum((outputs - y) ** 2)))
+        squared.append(float(np.sum((outputs - y) ** 2, dtype="float64")))
         hits.append(int(np.sum((outputs > cut) == above)))
-    return step, squared, hits
+    return state, step, squared, hits
 
 
 def fit_in_shards(
@@ -116,7 +117,9 @@ def fit_in_shards(
     tasks = min(4 * groups, 4 * max(cores, math.ceil(n_rows / shard_rows)))
     inputs = [f"_x{i}" for i in range(n_inputs)]
     rows = data.filter("is_train").select(*group, "_sec", *inputs, "_y", "_mean", "_sd")
-    rows = rows.repartition(tasks, *group)
+    # With nothing to co-group, ranges place the groups evenly, where hashes may collide.
+    place = rows.repartitionByRange if shards == 1 else rows.repartition
+    rows = place(tasks, *group)
 
     def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
         pdf = pdf.sort_values("_sec")
@@ -125,11 +128,11 @@ def fit_in_shards(
             theta = kernel.start(n_inputs, seed)
             values, step = np.concatenate([theta, np.zeros(2 * len(theta))]), 0
         else:
-            values, step = np.array(state["_state"]), int(state["_step"])
+            values, step = state["_state"], int(state["_step"])
         draw = [seed, first_epoch, int(pdf["_shard"].iloc[0])]
         mean, sd = float(pdf["_mean"].iloc[0]), float(pdf["_sd"].iloc[0])
         cut = (threshold - mean) / sd
-        step, squared, hits = train_shard(
+        values, step, squared, hits = train_shard(
             kernel, x, y, values, step, lr, batch, n_epochs, draw, cut
         )
         return pd.DataFrame(
@@ -137,7 +140,7 @@ def fit_in_shards(
                 key: [pdf[key].iloc[0]],
                 "_n": [len(y)],
                 "_step": [step],
-                "_state": [values],
+                "_state": [values.astype("float64")],
                 "_loss": [[s * sd * sd for s in squared]],
                 "_hits": [hits],
             }
