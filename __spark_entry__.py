@@ -291,6 +291,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # splits, samples, sets
         "time_split": _orders(lambda b: op.time_split(b).select(*keep, "rn", "is_train")),
         "time_split_brand": _brands(lambda b: op.time_split(b).select(*keep, "rn", "is_train")),
+        "time_split_by_date": _brands(
+            lambda b: op.time_split_by_date(b).select(*keep, "is_train")
+        ),
         "hash_split": _orders(
             lambda b: op.hash_split(b, [0.7, 0.2, 0.1], 42).select(*keep, "split")
         ),
@@ -656,6 +659,8 @@ SELECT "Stock", "Date", "Volume" / avg("Volume") FILTER (WHERE is_train)
         ),
         "time_split": _split_sql(ORDERS_BARS),
         "time_split_brand": _split_sql(BRAND_BARS),
+        "time_split_by_date": f"""
+SELECT "Stock", "Date", is_train FROM ({_split_sql(BRAND_BARS)}) AS s""",
         "hash_split": _with_bars(
             f"""SELECT "Stock", "Date", CASE WHEN u < 0.7::DOUBLE / 1 THEN 0
                   WHEN u < (0.7::DOUBLE + 0.2::DOUBLE) / 1 THEN 1 ELSE 2 END AS split

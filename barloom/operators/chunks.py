@@ -72,7 +72,8 @@ def chunk_index(
 ) -> DataFrame:
     """One row per ``(key, _chunk)``, built from partial aggregates.
 
-    ``_rows_before`` / ``_rows_total``: rows of the symbol in earlier chunks / in all.
+    ``_rows_here`` / ``_rows_before`` / ``_rows_total``: rows of the symbol in this chunk, in
+    earlier ones, in all.
     ``_prev_<col>``: each ``last`` column at the nearest earlier bar outside the chunk.
     ``_sum_<name>`` / ``_count_<name>``: over the symbol's whole history, per ``totals`` entry.
     """
@@ -91,6 +92,7 @@ def chunk_index(
     out = [
         key,
         CHUNK,
+        F.col("_rows").alias("_rows_here"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_rows").over(whole).alias("_rows_total"),
     ]

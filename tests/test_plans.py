@@ -82,3 +82,11 @@ def test_one_symbol_is_spread_over_tasks(spark, make_bars):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(r["count"] for r in sizes) == 3000
     assert len(sizes) > 4 and max(r["count"] for r in sizes) < 1500
+
+
+def test_split_by_date_does_not_shuffle_the_rows(spark, sf_dir):
+    bars = spark.read.parquet(_stored(spark, sf_dir))
+    plan = plan_of(op.time_split_by_date(bars))
+    assert not [e for e in re.findall(r"Exchange hashpartitioning.*", plan) if "Open" in e]
+    top = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin [Stock" in top and "Exchange hashpartitioning" not in top

@@ -75,6 +75,7 @@ def test_feature_tables_do_not_depend_on_chunks(make_bars, history, width):
         op.direction_target,
         op.relative_volume,
         op.time_split,
+        op.time_split_by_date,
         lambda b, **kw: op.sequence_features(b, ["Close"], 4, block_rows=5, **kw),
     ):
         whole = sorted(plan(bars, chunk_days=100_000).collect())
@@ -152,6 +153,15 @@ def test_split_boundary_is_float_floor(make_bars):
     assert ends[True].hi < ends[False].lo
 
 
+@settings(SETTINGS, max_examples=4)
+@given(histories, widths)
+def test_both_time_splits_agree(make_bars, history, width):
+    bars = make_bars(_rows(history))
+    by_date = op.time_split_by_date(bars, chunk_days=width)
+    numbered = op.time_split(bars, chunk_days=width).drop("rn")
+    assert sorted(by_date.collect()) == sorted(numbered.collect())
+
+
 def test_next_day_features_hold_nothing_of_today(make_bars):
     days = range(60)
     bars = make_bars([("A", d, 10.0 + d) for d in days])
