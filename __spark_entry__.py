@@ -219,10 +219,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return _day(plans.price_features(testdata.orders_bars(configure(spark), ENTRY_DIR)))
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the subpackage ``llm`` and the pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from barloom.llm.queries import QUERIES
+    except ImportError:
+        return {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_oracle_sql() -> dict[str, str]:
+    try:
+        import corpus_pipeline
+        from barloom.llm.queries import ORACLE_SQL
+    except ImportError:
+        return {}
+    if corpus_pipeline.ORACLE_SQL is None:
+        return dict(ORACLE_SQL)
+    return ORACLE_SQL | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     keep = ["Stock", "Date"]
     same = lambda bars: bars
-    return {
+    return _llm_queries() | {
         # sources and keyed access
         "to_bars": _orders(same),
         "to_bars_brand": _brands(same),
@@ -569,7 +590,7 @@ def _bins2d_sql(bins: int) -> str:
 
 def oracle_sql() -> dict[str, str]:
     long_frame = f'(PARTITION BY "Stock" ORDER BY "Date" RANGE BETWEEN INTERVAL 400 DAYS PRECEDING AND CURRENT ROW)'
-    return {
+    return _llm_oracle_sql() | {
         "to_bars": ORDERS_BARS,
         "to_bars_brand": BRAND_BARS,
         "to_bars_events": f'SELECT * REPLACE (epoch("Date")::BIGINT AS "Date") FROM ({EVENT_BARS}) AS e',
