@@ -26,6 +26,8 @@ from ..schema import DAY, KEY, TIME, epoch_seconds
 
 CHUNK_DAYS = 1024
 CHUNK, HOME, SEC, POS = "_chunk", "_home", "_sec", "_pos"
+# Join keys that the rows of one symbol are spread over.
+SALT, SALTS = "_salt", 32
 
 
 def chunk_of(seconds: Column, chunk_days: int) -> Column:
@@ -75,11 +77,14 @@ def chunk_index(
     ``_rows_here`` / ``_rows_before`` / ``_rows_total``: rows of the symbol in this chunk, in
     earlier ones, in all.
     ``_prev_<col>``: each ``last`` column at the nearest earlier bar outside the chunk.
+    ``_last_sec``: the time of the symbol's last bar.
     ``_sum_<name>`` / ``_count_<name>``: over the symbol's whole history, per ``totals`` entry.
+
+    A NULL symbol is an error: its rows would match no index row and be lost.
     """
     last, totals = last or [], totals or {}
     sec = epoch_seconds(time)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.max(sec).alias("_end")]
     # One max_by per column: a struct buffer would turn the hash aggregate into a sort.
     aggs += [F.max_by(c, sec).alias(f"_l_{c}") for c in last]
     for name, value in totals.items():
@@ -89,9 +94,11 @@ def chunk_index(
     whole = W.partitionBy(key)
     ordered = whole.orderBy(CHUNK)
     before = ordered.rowsBetween(W.unboundedPreceding, -1)
+    missing = F.raise_error(F.lit(f"a row has no {key}")).cast(df.schema[key].dataType)
     out = [
-        key,
+        F.coalesce(F.col(key), missing).alias(key),
         CHUNK,
+        F.max("_end").over(whole).alias("_last_sec"),
         F.col("_rows").alias("_rows_here"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_rows").over(whole).alias("_rows_total"),
@@ -103,6 +110,20 @@ def chunk_index(
     return per_chunk.select(*out)
 
 
+def join_symbols(
+    rows: DataFrame, per_symbol: DataFrame, on: list[str], spread: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join a table with one row per symbol (``on``) to raw rows.
+
+    The rows of a symbol are spread over ``SALTS`` keys by a hash of the ``spread`` columns and
+    the symbol's one row is repeated for each, so beyond the broadcast threshold no shuffle
+    gathers a symbol in one task.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return salted.join(per_symbol.withColumn(SALT, salts), [*on, SALT], how).drop(SALT)
+
+
 def attach(
     df: DataFrame, index: DataFrame, lagged: list[str] | None = None, key: str = KEY
 ) -> DataFrame:

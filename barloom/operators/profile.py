@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import KEY, TIME
+from .chunks import join_symbols
 
 
 def row_counts(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -80,8 +81,8 @@ def corr_pairs(
 def _ranges(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     """Minimum and maximum per symbol and column.
 
-    Joined back without a hint: one row per symbol is broadcast only while it is
-    under the session's size threshold, beyond it the join is split for skew by AQE.
+    Joined back without a hint: one row per symbol is broadcast only while it is under the
+    session's size threshold, beyond it a symbol's rows are spread over several join keys.
     """
     return df.groupBy(key).agg(
         *[F.min(c).alias(f"_lo_{i}") for i, c in enumerate(cols)],
@@ -100,7 +101,7 @@ def _bin(cols: list[str], i: int, bins: int):
 def histogram(df: DataFrame, cols: list[str], bins: int = 10, key: str = KEY) -> DataFrame:
     """Counts per ``(key, column, bin)``; empty bins are absent."""
     rows = df.na.drop(subset=cols)
-    rows = rows.select(key, *cols).join(_ranges(rows, cols, key), key)
+    rows = join_symbols(rows, _ranges(rows, cols, key), [key], df.columns)
     cells = F.array(
         *[
             F.struct(
@@ -166,7 +167,7 @@ def density(
 def bins2d(df: DataFrame, cols: list[str], bins: int = 10, key: str = KEY) -> DataFrame:
     """Counts per ``(key, col_x, col_y, bin_x, bin_y)``: a scatter plot of bounded size."""
     rows = df.na.drop(subset=cols)
-    rows = rows.select(key, *cols).join(_ranges(rows, cols, key), key)
+    rows = join_symbols(rows, _ranges(rows, cols, key), [key], df.columns)
     cells = F.array(
         *[
             F.struct(

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schema import KEY
+from .chunks import join_symbols
 
 GROUP = ["model", KEY]
 
@@ -64,7 +65,7 @@ def auc(preds: DataFrame, slices: int = 64) -> DataFrame:
         F.sum("other").alias("all_other"),
     )
     score, wide = F.col("score"), "decimal(38,0)"
-    sliced = scores.join(groups, GROUP).withColumn(
+    sliced = join_symbols(scores, groups, GROUP, ["score"]).withColumn(
         "slice", F.size(F.filter("cuts", lambda cut: cut < score))
     )
     inside = W.partitionBy(*GROUP, "slice").orderBy("score")

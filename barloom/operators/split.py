@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hash_unit
 from ..schema import KEY, TIME
-from .chunks import CHUNK_DAYS, attach, chunk_index, open_chunks, row_number
+from .chunks import CHUNK_DAYS, attach, chunk_index, join_symbols, open_chunks, row_number
 
 
 def train_rows(total, train: float):
@@ -41,11 +41,11 @@ def time_split_by_date(
     time: str = TIME,
     chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
-    """The flag of ``time_split`` without row numbers, and without shuffling the rows.
+    """The flag of ``time_split`` without row numbers, and without ordering the rows.
 
     The last train date of a symbol lies in the one chunk where the running count passes
     the train share, so only the dates of that chunk are ranked. The table itself is
-    compared with one date per symbol.
+    compared with one date per symbol, which Spark broadcasts while it is small.
     """
     index = chunk_index(df, key=key, time=time, chunk_days=chunk_days)
     n_train = train_rows(F.col("_rows_total"), train)
@@ -55,7 +55,7 @@ def time_split_by_date(
     dates = open_chunks(df.select(key, time), 0, time, chunk_days)
     ranked = attach(dates, index.filter(ends_here), key=key)
     last = ranked.filter(row_number() == n_train).select(key, F.col(time).alias("_last_train"))
-    rows = df.join(last, key, "left")
+    rows = join_symbols(df, last, [key], [key, time], "left")
     is_train = F.coalesce(F.col(time) <= F.col("_last_train"), F.lit(False))
     return rows.withColumn("is_train", is_train).select(*df.columns, "is_train")
 

@@ -41,6 +41,15 @@ def _running(value, rows, days, until, one=1):
     return total.cast("double") / (F.nullif(count, F.lit(0)) * one)
 
 
+def _steps(col, units):
+    """A price in whole steps of ``1 / units``; doubles are off by their last digits only."""
+    exact = F.col(col) * units
+    whole = F.round(exact)
+    off = F.abs(exact - whole) > F.greatest(F.abs(whole), F.lit(1.0)) * 1e-9
+    message = F.concat(F.lit(f"{col} is not in steps of 1/{units}: "), F.col(col).cast("string"))
+    return F.when(off, F.raise_error(message).cast("long")).otherwise(whole.cast("long"))
+
+
 def trailing_avg(
     df: DataFrame,
     col: str,
@@ -58,14 +67,15 @@ def trailing_avg(
 
     ``units`` is for frames of many bars (intraday bars, long frames) with prices quoted
     in steps of ``1 / units`` (100 for cents): whole steps are summed, which is exact in
-    any order, and a frame costs the same however many bars it holds.
+    any order, and a frame costs the same however many bars it holds. A price that is not a
+    whole number of steps is an error.
     """
     out = out or f"{col}_avg{days}"
     rows = by_time(key)
     if units is None:
         value = F.avg(col).over(rows.rangeBetween(-days * DAY, -until * DAY))
     else:
-        value = _running(F.round(F.col(col) * units).cast("long"), rows, days, until, units)
+        value = _running(_steps(col, units), rows, days, until, units)
     return _trailing(df, days, time, max(chunk_days, 2 * days), {out: value})
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..schema import DAY, KEY, TIME, epoch_seconds
+from ..operators.chunks import CHUNK_DAYS, attach, chunk_index, join_symbols, open_chunks, previous
+from ..schema import DAY, KEY, TIME
 
 HIGHER_IS_BETTER = ["auc", "accuracy"]
 
@@ -57,7 +58,7 @@ def describe(preds: DataFrame, dim: DataFrame, key: str = KEY) -> DataFrame:
     No broadcast hint: Spark broadcasts the dimension only under its size threshold.
     """
     names = dim.groupBy(key).agg(F.max("description").alias("description"))
-    return preds.join(names, key, "left")
+    return join_symbols(preds, names, [key], preds.columns, "left")
 
 
 def metric_report(metrics: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -76,23 +77,31 @@ def leaderboard(metrics: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def suggest(
-    preds: DataFrame, n_days: int = 30, k: int = 10, key: str = KEY, time: str = TIME
+    preds: DataFrame,
+    n_days: int = 30,
+    k: int = 10,
+    key: str = KEY,
+    time: str = TIME,
+    chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
     """The ``k`` symbols with the highest mean predicted return, per model.
 
     Over each symbol's last ``n_days`` calendar days, a row's predicted return is
-    ``predicted / previous actual - 1``; the first row of the span has no previous one.
-    The span is cut first, so what is ordered per symbol is bounded by its days.
+    ``predicted / previous actual - 1``; the previous actual may lie before the span. Rows are
+    ordered within chunks of time, as everywhere, never by symbol alone.
     """
-    group = ["model", key]
-    rows = preds.withColumn("_sec", epoch_seconds(time))
-    ends = rows.groupBy(*group).agg(F.max("_sec").alias("_end"))
-    recent = rows.join(ends, group).filter(F.col("_sec") > F.col("_end") - n_days * DAY)
-    before = F.lag("actual").over(W.partitionBy(*group).orderBy("_sec"))
-    returns = recent.withColumn("_return", F.col("predicted") / F.nullif(before, F.lit(0.0)) - 1)
-    means = returns.groupBy(*group).agg(
-        F.avg("_return").alias("mean_return"), F.count("_return").alias("n_rows")
+    pair = "_pair"
+    rows = preds.withColumn(pair, F.struct("model", key))
+    index = chunk_index(rows, last=["actual"], key=pair, time=time, chunk_days=chunk_days)
+    rows = attach(open_chunks(rows, 0, time, chunk_days), index, ["actual"], pair)
+    gain = F.col("predicted") / F.nullif(previous("actual"), F.lit(0.0)) - 1
+    recent = F.col("_sec") > F.col("_last_sec") - n_days * DAY
+    means = (
+        rows.select("model", key, gain.alias("_return"), recent.alias("_recent"))
+        .filter("_recent")
+        .groupBy("model", key)
+        .agg(F.avg("_return").alias("mean_return"), F.count("_return").alias("n_rows"))
+        .filter(F.col("mean_return").isNotNull())
     )
-    means = means.filter(F.col("mean_return").isNotNull())
     best = F.row_number().over(W.partitionBy("model").orderBy(F.desc("mean_return"), key))
     return means.withColumn("rank", best).filter(F.col("rank") <= k)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import BAR_SCHEMA, CSV_COLUMNS, CSV_DATE_FORMAT, KEY, PRICES, TIME
 
-CORRUPT = "_corrupt"
+CORRUPT, FILE_SYMBOL = "_corrupt", "_file_symbol"
 DOUBLES = [*PRICES, "Volume"]
 # Both spellings of the adjusted close occur in files; a file has one of them.
 ADJUSTED_NAMES = ["AdjClose", "Adj Close", "Adjusted Close"]
@@ -20,7 +23,6 @@ def _text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
 
 
-CSV_SCHEMA = _text(["AdjClose" if c == "Adj Close" else c for c in CSV_COLUMNS])
 JSON_SCHEMA = _text(["Stock", "Date", *[c for c in DOUBLES if c != "AdjClose"], *ADJUSTED_NAMES])
 
 
@@ -66,6 +68,53 @@ def normalise(df: DataFrame, date_format: str | None = CSV_DATE_FORMAT) -> DataF
     )
 
 
+def _csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files as text columns named by their own header, whatever its order.
+
+    Headers, one row a file, come from a pass over the lines; files with the same header are
+    read together. A header that lacks a column is an error, as is a file without one.
+    """
+    lines = spark.read.text(path)
+    is_header = F.col("value").contains(TIME) & F.col("value").contains("Open")
+    found = (
+        lines.select(_path_part("_metadata.file_path").alias("file"), "value")
+        .groupBy("file")
+        .agg(F.min(F.when(is_header, F.col("value"))).alias("header"))
+        .collect()
+    )
+    by_header: dict[str, list[str]] = {}
+    for row in found:
+        by_header.setdefault(row["header"], []).append(row["file"])
+    parts = []
+    for header, files in sorted(by_header.items(), key=lambda x: str(x[0])):
+        names = next(csv.reader([(header or "").lstrip("\ufeff")]), [])
+        lacking = [c for c in CSV_COLUMNS if c != "Adj Close" and c not in names]
+        if lacking or not any(c in ADJUSTED_NAMES for c in names):
+            raise ValueError(f"{files[0]}: the header lacks {lacking or 'the adjusted close'}")
+        reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
+        reader = reader.option("header", True).option("enforceSchema", False)
+        if len(by_header) > 1 and isinstance(path, str) and any("=" in f for f in files):
+            reader = reader.option("basePath", path)
+        given = path if len(by_header) == 1 else files
+        parts.append(reader.schema(_text(names)).csv(given))
+    if not parts:
+        return spark.createDataFrame([], _text(["AdjClose", *CSV_COLUMNS[:-1]]))
+    adjusted = [c for c in ADJUSTED_NAMES if any(c in p.columns for p in parts)]
+    same = [*CSV_COLUMNS[:-1], *adjusted, CORRUPT]
+    extra = [c for c in parts[0].columns if c == KEY]
+    return reduce(
+        DataFrame.unionByName,
+        [
+            p.select(
+                *[F.col(c) if c in p.columns else F.lit(None).cast("string").alias(c) for c in same],
+                *extra,
+                _symbol_from_file().alias(FILE_SYMBOL),
+            )
+            for p in parts
+        ],
+    )
+
+
 def read_bars(
     spark: SparkSession,
     path: str | list[str],
@@ -78,26 +127,25 @@ def read_bars(
 
     ``fmt``: ``csv`` (symbol from the file name), ``json`` (JSON lines; symbol from a
     ``Stock`` field or ``Stock=`` folder, else from an ``X-dataset.json`` folder) or
-    ``parquet`` as ``write_bars`` leaves it. ``infer`` lets Spark infer the CSV types
-    by header name. A row whose date or a value cannot be read is in ``rejects``, with its
-    symbol, date text and line, and not in ``bars``.
+    ``parquet`` as ``write_bars`` leaves it. CSV columns are bound by header name. ``infer``
+    also accepts dates that Spark reads without a pattern. A row with too few or too many
+    fields, or whose date or a value cannot be read, is in ``rejects``, with its symbol, date
+    text and line, and not in ``bars``; so in every format.
     """
-    if fmt == "parquet":
-        bars = spark.read.parquet(path)
-        bars = normalise(bars, date_format).select(*BAR_SCHEMA.names)
-        return bars, spark.createDataFrame([], "Stock string, Date string, line string")
     reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
-    if fmt == "json":
+    if fmt == "parquet":
+        raw = spark.read.parquet(path).withColumn(CORRUPT, F.lit(None).cast("string"))
+        name = symbol if symbol is not None else F.col(KEY)
+    elif fmt == "json":
         raw = reader.schema(JSON_SCHEMA).json(path)
         name = symbol if symbol is not None else F.coalesce("Stock", _symbol_from_folder())
         date_format = None if date_format == CSV_DATE_FORMAT else date_format
     elif fmt == "csv":
+        raw = _csv_text(spark, path)
         if infer:
-            raw = spark.read.csv(path, header=True, inferSchema=True)
-            raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
-        else:
-            raw = reader.option("header", True).schema(CSV_SCHEMA).csv(path)
-        name = symbol if symbol is not None else _symbol_from_file()
+            known = F.coalesce(_timestamp(date_format), _timestamp(None))
+            raw = raw.withColumns({"_raw_date": F.col(TIME), TIME: known})
+        name = symbol if symbol is not None else F.col(FILE_SYMBOL)
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
@@ -110,7 +158,7 @@ def read_bars(
     raw = raw.withColumns({KEY: name, "_broken": broken})
     rejects = raw.filter("_broken").select(
         KEY,
-        F.col(TIME).cast("string").alias(TIME),
+        (F.col("_raw_date") if "_raw_date" in raw.columns else F.col(TIME)).cast("string").alias(TIME),
         F.coalesce(CORRUPT, F.to_json(F.struct(TIME, *values))).alias("line"),
     )
     return normalise(raw.filter("NOT _broken"), date_format), rejects

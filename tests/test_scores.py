@@ -129,4 +129,9 @@ def test_leaderboard_and_suggestions(spark):
     )
     best = plans.suggest(preds, n_days=3, k=2).orderBy("rank").collect()
     assert [r.Stock for r in best] == ["UP", "FLAT"]
-    assert best[0].mean_return == pytest.approx(0.15) and best[0].n_rows == 2
+    assert best[0].mean_return == pytest.approx(0.1) and best[0].n_rows == 3
+    # The previous actual may lie before the span, and in an earlier chunk.
+    for chunk_days in (1, 7, 1024):
+        last = plans.suggest(preds, n_days=1, k=3, chunk_days=chunk_days).orderBy("rank").collect()
+        assert [(r.Stock, r.n_rows) for r in last] == [("UP", 1), ("FLAT", 1), ("DOWN", 1)]
+        assert [r.mean_return for r in last] == pytest.approx([0.2, 0.0, -0.1])

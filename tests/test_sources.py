@@ -159,3 +159,45 @@ def test_report_file_and_names(spark, make_bars, tmp_path):
     assert back.orderBy("Stock").collect() == metrics.orderBy("Stock").collect()
     named = plans.describe(metrics, company_names(spark)).orderBy("Stock").collect()
     assert [r.description for r in named] == ["Goodyear Tire & Rubber Co", None]
+
+
+def test_csv_columns_are_bound_by_header(spark, tmp_path):
+    other = tmp_path / "GT.csv"
+    other.write_text("Date,Open,High,Low,Close,Volume,Adj Close\n1-2-2001,1,3,0.5,2,100,2.5\n")
+    bars, rejects = sources.read_bars(spark, str(other))
+    (row,) = bars.collect()
+    assert (row.Open, row.High, row.Low, row.Close, row.Volume, row.AdjClose) == (1, 3, 0.5, 2, 100, 2.5)
+    assert rejects.count() == 0
+    named = tmp_path / "TXN.csv"
+    named.write_text("Date,AdjClose,Open,High,Low,Close,Volume,Note\n1-2-2001,2.5,1,3,0.5,2,100,x\n")
+    (row,) = sources.read_bars(spark, str(named))[0].collect()
+    assert (row.Stock, row.Open, row.AdjClose) == ("TXN", 1, 2.5)
+    lacking = tmp_path / "PHI.csv"
+    lacking.write_text("Date,Open,High,Low,Volume,Adj Close\n1-2-2001,1,3,0.5,100,2.5\n")
+    with pytest.raises(ValueError, match="Close"):
+        sources.read_bars(spark, str(lacking))
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "A.csv").write_text("Date,Low,Open,Volume,High,Close,Adj Close\n1-2-2001,1,2,3,4,5,6\n")
+    (tmp_path / "B.csv").write_text("Date,Open,Low,Volume,High,Close,AdjClose\n1-2-2001,1,2,3,4,5,6\n1,2\n")
+    bars, rejects = sources.read_bars(spark, str(tmp_path))
+    got = {r.Stock: (r.Low, r.Open, r.AdjClose) for r in bars.collect()}
+    assert got == {"A": (1, 2, 6), "B": (2, 1, 6)} and [r.Stock for r in rejects.collect()] == ["B"]
+
+
+def test_short_rows_are_rejected_when_types_are_inferred(spark, tmp_path):
+    path = tmp_path / "GT.csv"
+    path.write_text("Date,Low,Open,Volume,High,Close,Adj Close\n1-2-2001,1,2,3,4,5,6\n2-2-2001,1,2\n2001-02-03,1,2,3,4,5,6\n")
+    bars, rejects = sources.read_bars(spark, str(path), infer=True)
+    assert bars.count() == 2 and [r.Date for r in rejects.collect()] == ["2-2-2001"]
+
+
+def test_unreadable_parquet_values_are_rejected(spark, tmp_path):
+    rows = [("A", "1-2-2001", "1.5"), ("A", "someday", "1"), ("A", "2-2-2001", "many")]
+    frame = spark.createDataFrame(rows, "Stock string, Date string, Close string")
+    for name in ("Low", "Open", "Volume", "High"):
+        frame = frame.withColumn(name, F.lit(1.0))
+    frame.write.parquet(str(tmp_path / "bars"))
+    bars, rejects = sources.read_bars(spark, str(tmp_path / "bars"), "parquet")
+    assert bars.count() == 1 and {r.Date for r in rejects.collect()} == {"someday", "2-2-2001"}

@@ -193,3 +193,17 @@ def test_except_is_a_set_difference(spark):
     a = spark.createDataFrame([(1,), (2,), (2,), (3,), (1,)], "x int")
     b = spark.createDataFrame([(1,)], "x int")
     assert sorted(r.x for r in op.except_rows(a, b).collect()) == [2, 3]
+
+
+def test_prices_off_the_grid_are_an_error(make_bars):
+    bars = make_bars([("A", d, 10.0 + d / 10_000) for d in range(5)])
+    with pytest.raises(Exception, match="not in steps of 1/100"):
+        op.trailing_avg(bars, "Close", 14, units=100).collect()
+    assert op.trailing_avg(bars, "Close", 14, units=10_000).count() == 5
+
+
+def test_a_missing_symbol_is_an_error(make_bars):
+    bars = make_bars([("A", 1, 10.0), (None, 2, 11.0)])
+    for plan in (plans.price_features, op.time_split, op.direction_target, op.time_split_by_date):
+        with pytest.raises(Exception, match="has no Stock"):
+            plan(bars).collect()
