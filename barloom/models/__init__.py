@@ -8,4 +8,5 @@ from .per_symbol import (  # noqa: F401
     score_per_symbol,
     write_scores,
 )
-from .shards import ShardFit, fit_factorization, fit_gated_net  # noqa: F401
+from .kernels import FactorPairs, GatedCells  # noqa: F401
+from .shards import ShardFit, fit_factorization, fit_gated_net, score_net  # noqa: F401

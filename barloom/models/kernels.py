@@ -19,6 +19,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Shapes = list[tuple[str, tuple[int, ...]]]
 
+ADAM_DECAY = (0.9, 0.999)
+ADAM_EPS = 1e-8
+
 
 def views(flat: np.ndarray, shapes: Shapes) -> list[np.ndarray]:
     out, start = [], 0
@@ -115,3 +118,40 @@ class FactorPairs(NamedTuple):
         grads[1][:] = x.T @ d_out
         own = (x * x).T @ d_out
         grads[2][:] = x.T @ (sums * d_out[:, None]) - params[2] * own[:, None]
+
+
+def products(x: np.ndarray) -> np.ndarray:
+    """One, the inputs, and the products of different inputs, pair by pair."""
+    i, j = np.triu_indices(x.shape[1], 1)
+    return np.column_stack([np.ones(len(x)), x, x[:, i] * x[:, j]])
+
+
+def train_on_moments(kernel, moments, n, inputs, lr, epochs, seed):
+    """Full-batch Adam on the mean squared error of a factorization machine, from sums.
+
+    ``moments`` are the sums over rows of the products of (``products`` of the inputs, target)
+    with themselves. An output is linear in the products, with weights (bias, linear, v_i v_j),
+    so the error and its derivative by these weights are matrix products. Returns the
+    parameters and the mean squared error at the start of each epoch.
+    """
+    i, j = np.triu_indices(inputs, 1)
+    size = 1 + inputs + len(i)
+    sums = np.asarray(moments, dtype=float).reshape(size + 1, size + 1) / n
+    gram, cross, target = sums[:size, :size], sums[:size, size], sums[size, size]
+    theta = kernel.start(inputs, seed)
+    shapes = kernel.shapes(inputs)
+    m, v, losses = np.zeros_like(theta), np.zeros_like(theta), []
+    for step in range(1, epochs + 1):
+        bias, linear, factors = views(theta, shapes)
+        w = np.concatenate([bias, linear, (factors[i] * factors[j]).sum(axis=1)])
+        fitted = gram @ w
+        losses.append(max(0.0, float(w @ fitted - 2 * w @ cross + target)))
+        slope = 2 * (fitted - cross)
+        pairs = np.zeros((inputs, inputs))
+        pairs[i, j] = pairs[j, i] = slope[1 + inputs :]
+        grad = np.concatenate([slope[: 1 + inputs], (pairs @ factors).ravel()])
+        m = ADAM_DECAY[0] * m + (1 - ADAM_DECAY[0]) * grad
+        v = ADAM_DECAY[1] * v + (1 - ADAM_DECAY[1]) * grad * grad
+        spread = np.sqrt(v) / math.sqrt(1 - ADAM_DECAY[1] ** step) + ADAM_EPS
+        theta = theta - lr / (1 - ADAM_DECAY[0] ** step) * m / spread
+    return theta, losses

@@ -8,7 +8,6 @@ reads only its symbol's files instead of replaying the feature plan.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
@@ -24,7 +23,9 @@ from pyspark.sql import functions as F
 from ..plans.report import predictions
 from ..schema import KEY, TIME
 
-ROWS_PER_TASK = 200_000
+# Forests draw their samples per partition: a fixed number, dealt by hash, keeps the trees the
+# same on any layout and at any size.
+PARTITIONS = 8
 SCALED_LABEL, SCALED_PREDICTION = "label_z", "prediction_z"
 
 
@@ -73,9 +74,15 @@ def fit_per_symbol(
     parallelism: int = 8,
     scale_label: bool = False,
     min_rows: int = 2,
+    partitions: int = PARTITIONS,
     key: str = KEY,
+    time: str = TIME,
 ) -> Fitted:
-    """Fit ``estimator`` on the ``is_train`` rows of each symbol (of all, by default)."""
+    """Fit ``estimator`` on the ``is_train`` rows of each symbol (of all, by default).
+
+    Rows of a symbol are dealt over ``partitions`` tasks by a hash of their time: give more
+    for symbols of very many rows. The models do not depend on files or on the other symbols.
+    """
     sizes = df.groupBy(key).agg(
         F.count(F.when(F.col("is_train"), 1)).alias("n"),
         F.avg(F.when(F.col("is_train"), F.col(label))).alias("mean"),
@@ -92,7 +99,7 @@ def fit_per_symbol(
     def fit(symbol: str):
         row = stats[symbol]
         train = df.filter((F.col(key) == symbol) & F.col("is_train"))
-        train = train.coalesce(math.ceil(row["n"] / ROWS_PER_TASK))
+        train = train.repartition(partitions, F.xxhash64(time)).sortWithinPartitions(time)
         mean, sd = float(row["mean"]), float(row["sd"]) or 1.0
         if scale_label:
             train = train.withColumn(SCALED_LABEL, (F.col(label) - mean) / sd)
@@ -136,9 +143,17 @@ def score_per_symbol(
         _score(model, df, name, label, symbol, key, time)
         for symbol, model in sorted(models.items())
     ]
+    if not parts:
+        return _no_scores(df, key, time)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _no_scores(df: DataFrame, key: str, time: str) -> DataFrame:
+    """An empty prediction table."""
+    empty = df.limit(0).withColumns({"_a": F.lit(0.0), "_p": F.lit(0.0)})
+    return predictions(empty, "none", "_a", "_p", key=key, time=time)
+
+
 def _score(model, df, name, label, symbol, key, time) -> DataFrame:
     test = df.filter((F.col(key) == symbol) & ~F.col("is_train"))
     return predictions(model.transform(test), name, label, key=key, time=time)
@@ -154,30 +169,50 @@ def write_scores(
     key: str = KEY,
     time: str = TIME,
 ) -> DataFrame:
-    """The same table, written to ``path`` as one folder per symbol, and read back."""
+    """The same table, written below ``path`` as one folder per symbol, and read back.
+
+    A run replaces the folders of its own symbols and reads no others.
+    """
     spark = df.sparkSession
+    if not models:
+        return _no_scores(df, key, time)
 
-    def write(symbol: str) -> None:
+    def write(symbol: str) -> str:
         scored = _score(models[symbol], df, name, label, symbol, key, time).drop(key)
-        scored.write.mode("overwrite").parquet(f"{path}/{key}={quote(symbol, safe='')}")
+        folder = f"{path}/{key}={quote(symbol, safe='')}"
+        scored.write.mode("overwrite").parquet(folder)
+        return folder
 
-    _in_threads(spark, write, sorted(models), parallelism)
+    folders = _in_threads(spark, write, sorted(models), parallelism)
     schema = _score(next(iter(models.values())), df, name, label, "", key, time).schema
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).select(*schema.names)
 
 
 def _folder(path: str, symbol: str) -> str:
     return f"{path}/models/{quote(symbol, safe='')}"
 
 
-def save_models(models: dict[str, PipelineModel], spark: SparkSession, path: str) -> None:
+def save_models(
+    models: dict[str, PipelineModel], spark: SparkSession, path: str, parallelism: int = 8
+) -> None:
     """Write every model below ``path``, replacing earlier ones, and the list of symbols."""
-    for symbol, model in models.items():
-        model.write().overwrite().save(_folder(path, symbol))
+
+    def save(symbol: str) -> None:
+        models[symbol].write().overwrite().save(_folder(path, symbol))
+
+    if models:
+        _in_threads(spark, save, sorted(models), parallelism)
     names = spark.createDataFrame([(s,) for s in sorted(models)], f"{KEY} string")
     names.coalesce(1).write.mode("overwrite").parquet(f"{path}/symbols")
 
 
-def load_models(spark: SparkSession, path: str) -> dict[str, PipelineModel]:
-    names = [row[KEY] for row in spark.read.parquet(f"{path}/symbols").collect()]
-    return {s: PipelineModel.load(_folder(path, s)) for s in names}
+def load_models(
+    spark: SparkSession, path: str, parallelism: int = 8
+) -> dict[str, PipelineModel]:
+    names = sorted(row[KEY] for row in spark.read.parquet(f"{path}/symbols").collect())
+    if not names:
+        return {}
+    return dict(
+        _in_threads(spark, lambda s: (s, PipelineModel.load(_folder(path, s))), names, parallelism)
+    )

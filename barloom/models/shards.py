@@ -1,12 +1,19 @@
 """Gradient-trained models, one per symbol, all symbols in the same Spark job.
 
-The unit of work is a *shard* of one symbol, at most about ``shard_rows`` train rows,
-so a symbol of any size is trained by many tasks and thousands of symbols take one
-job. A symbol of one shard is trained in one go. When some symbol needs more,
-training runs in rounds of ``sync_epochs``: each shard trains from the symbol's common
-state and the states are averaged, weighted by rows, between rounds (local SGD;
-McMahan et al., 2017). Every round is a checkpointed table, so a lost executor costs
-at most that round. The optimiser is Adam (Kingma & Ba, 2015) on the squared error.
+Every symbol's train rows are dealt by hash over the same number of shards, whatever its
+size, and every symbol has the same schedule, so a model depends on its own rows only.
+
+A net trains in rounds of ``sync_epochs``: each shard trains from the symbol's common state
+and the states are averaged, weighted by rows, between rounds (local SGD; McMahan et al.,
+2017). Rows are placed once and kept; only states move between rounds, each a checkpointed
+table. Choose ``shards`` so that a shard of the largest symbol fits a task.
+
+A factorization machine trains on all rows at once. Its squared error is a quadratic form in
+the products of its inputs, so the sums of these products over the rows, added up by Spark in
+one pass, hold all that training needs: the model is the same for any number of shards, and
+a step costs the same however many rows there are.
+
+The optimiser is Adam (Kingma & Ba, 2015) on the squared error.
 """
 
 from __future__ import annotations
@@ -24,15 +31,17 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.chunks import join_symbols
 from ..schema import KEY, TIME, cut_lineage, epoch_seconds, staged
-from .kernels import FactorPairs, GatedCells, views
+from .kernels import ADAM_DECAY, ADAM_EPS, FactorPairs, GatedCells, products, train_on_moments, views
 
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SHARD_ROWS = 50_000
-ADAM_DECAY = (0.9, 0.999)
-ADAM_EPS = 1e-8
+SHARDS = 4
+SYNC_EPOCHS = 50
+# Names under which the parameter table keeps means and deviations, the label's last.
+SCALES = ("scale.mean", "scale.sd")
 
 
 class ShardFit(NamedTuple):
@@ -94,8 +103,8 @@ def fit_in_shards(
     seed: int = 42,
     threshold: float = 0.5,
     scale_label: bool = True,
-    shard_rows: int = SHARD_ROWS,
-    sync_epochs: int = 10,
+    shards: int = SHARDS,
+    sync_epochs: int = SYNC_EPOCHS,
     key: str = KEY,
     time: str = TIME,
 ) -> ShardFit:
@@ -106,20 +115,17 @@ def fit_in_shards(
     batch; its accuracy compares both sides of ``threshold`` in label units.
     """
     n_inputs = len(features)
-    data, shards, groups, n_rows = _standardised(
-        df, features, label, scale_label, shard_rows, key, time
-    )
+    data, scales, symbols = _standardised(df, features, label, scale_label, shards, key, time)
     group = [key, "_shard"]
     # Shards are small in bytes but long in compute: a fixed number of partitions keeps AQE
-    # from merging them into few tasks. Several per core, and per shard's worth of rows,
-    # against collisions, but no more than can be filled.
+    # from merging them into few tasks. Several per core against collisions, but no more than
+    # can be filled.
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(4 * groups, 4 * max(cores, math.ceil(n_rows / shard_rows)))
+    tasks = max(1, min(4 * symbols * shards, max(4 * cores, symbols * shards // 64)))
     inputs = [f"_x{i}" for i in range(n_inputs)]
     rows = data.filter("is_train").select(*group, "_sec", *inputs, "_y", "_mean", "_sd")
-    # With nothing to co-group, ranges place the groups evenly, where hashes may collide.
-    place = rows.repartitionByRange if shards == 1 else rows.repartition
-    rows = place(tasks, *group)
+    # Placed once; kept, so that a round's co-group moves only the states.
+    rows = rows.repartition(tasks, *group).persist()
 
     def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
         pdf = pdf.sort_values("_sec")
@@ -151,31 +157,28 @@ def fit_in_shards(
         "_loss array<double>, _hits array<long>"
     )
     empty = [key, "_n", "_step", "_state", "_loss", "_hits"]
-    per_round = epochs if shards == 1 else sync_epochs
     state, logs = None, []
-    for first in range(0, epochs, per_round):
-        n_epochs = min(per_round, epochs - first)
+    for first in range(0, epochs, sync_epochs):
+        n_epochs = min(sync_epochs, epochs - first)
         shard = partial(train, first_epoch=first, n_epochs=n_epochs)
         if state is None:
             trained = rows.groupBy(*group).applyInPandas(_alone(shard), schema)
         else:
             trained = (
                 rows.groupBy(*group)
-                .cogroup(_for_shards(state, "_shards").groupBy(*group))
+                .cogroup(_for_shards(state, shards).repartition(tasks, *group).groupBy(*group))
                 .applyInPandas(_with_state(shard, empty), schema)
             )
         trained = cut_lineage(trained)
         logs.append(_log(trained, first, key))
-        state = cut_lineage(_averaged(trained, data, key))
+        state = cut_lineage(_averaged(trained, key))
+    rows.unpersist()
 
     history = logs[0]
     for log in logs[1:]:
         history = history.unionByName(log)
-    return ShardFit(
-        _predictions(data, state, kernel, inputs, key, time),
-        history,
-        _parameters(state, kernel.shapes(n_inputs), key),
-    )
+    parameters = cut_lineage(_parameters(state, scales, kernel.shapes(n_inputs), key))
+    return ShardFit(_test_scores(df, features, label, parameters, kernel, key, time), history, parameters)
 
 
 def fit_gated_net(
@@ -202,14 +205,127 @@ def fit_factorization(
     factors: int = 8,
     lr: float = 0.03,
     epochs: int = 100,
-    **options,
+    seed: int = 42,
+    scale_label: bool = True,
+    shards: int = SHARDS,
+    key: str = KEY,
+    time: str = TIME,
 ) -> ShardFit:
     """A factorization machine per symbol by full-batch steps, without a job per step.
 
     For universes of thousands of symbols, where one Spark ML fit per symbol would keep
-    the driver busy with hundreds of small jobs each.
+    the driver busy with hundreds of small jobs each. ``shards`` spreads the sums and changes
+    nothing else. The accuracy of the history is NULL: sums do not tell single outputs.
+    """
+    kernel = FactorPairs(factors)
+    data, scales, _ = _standardised(df, features, label, scale_label, shards, key, time)
+    inputs = [f"_x{i}" for i in range(len(features))]
+    rows = data.filter("is_train").select(key, "_shard", "_sec", *inputs, "_y", "_sd")
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_sec")
+        z = np.column_stack([products(pdf[inputs].to_numpy()), pdf["_y"].to_numpy()])
+        return pd.DataFrame(
+            {
+                key: [pdf[key].iloc[0]],
+                "_n": [len(pdf)],
+                "_sd": [float(pdf["_sd"].iloc[0])],
+                "_moments": [(z.T @ z).ravel()],
+            }
+        )
+
+    part = rows.groupBy(key, "_shard").applyInPandas(
+        sums, f"{key} string, _n long, _sd double, _moments array<double>"
+    )
+    whole = part.groupBy(key).agg(
+        F.sum("_n").alias("_n"),
+        F.max("_sd").alias("_sd"),
+        Summarizer.sum(array_to_vector("_moments")).alias("_moments"),
+    ).withColumn("_moments", vector_to_array("_moments"))
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, sd = int(pdf["_n"].iloc[0]), float(pdf["_sd"].iloc[0])
+        theta, losses = train_on_moments(
+            kernel, np.asarray(pdf["_moments"].iloc[0]), n, len(inputs), lr, epochs, seed
+        )
+        return pd.DataFrame(
+            {key: [pdf[key].iloc[0]], "_state": [theta], "_loss": [[x * sd * sd for x in losses]]}
+        )
+
+    state = cut_lineage(
+        whole.groupBy(key).applyInPandas(
+            train, f"{key} string, _state array<double>, _loss array<double>"
+        )
+    )
+    epoch = state.select(key, F.posexplode("_loss").alias("_i", "loss"))
+    history = epoch.select(
+        key,
+        (F.col("_i") + 1).alias("epoch"),
+        "loss",
+        F.sqrt("loss").alias("rmse"),
+        F.lit(None).cast("double").alias("accuracy"),
+    )
+    parameters = cut_lineage(_parameters(state, scales, kernel.shapes(len(inputs)), key))
+    return ShardFit(_test_scores(df, features, label, parameters, kernel, key, time), history, parameters)
+
+
+def score_net(
+    parameters: DataFrame,
+    df: DataFrame,
+    features: list[str],
+    kernel,
+    label: str | None = None,
+    spread: int = 32,
+    key: str = KEY,
+    time: str = TIME,
+) -> DataFrame:
+    """``Stock, Date, actual, predicted`` of any rows by a parameter table, stored or new.
+
+    ``parameters`` is that of ``ShardFit`` (``Stock, name, shape, values``) and holds the scale of
+    features and label; ``features`` and ``kernel`` are those of the fit; ``actual`` is NULL
+    without ``label``. Rows of a symbol are spread over ``spread`` groups. Symbols without
+    parameters are left out.
     """
-    return fit_in_shards(df, features, label, FactorPairs(factors), lr, None, epochs, **options)
+    n_inputs = len(features)
+    shapes = kernel.shapes(n_inputs)
+    inputs = [f"_x{i}" for i in range(n_inputs)]
+    actual = F.col(label).cast("double") if label else F.lit(None).cast("double")
+    rows = df.select(
+        key,
+        F.col(time).cast("timestamp").alias(time),
+        *[F.col(c).cast("double").alias(x) for c, x in zip(features, inputs)],
+        actual.alias("_actual"),
+        F.pmod(F.xxhash64(key, epoch_seconds(time)), F.lit(spread)).cast("int").alias("_shard"),
+    )
+    state = parameters.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "values"))).alias("_by_name")
+    )
+
+    def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or states.empty:
+            return pd.DataFrame(columns=[key, time, "actual", "predicted"])
+        by_name = dict(states["_by_name"].iloc[0])
+        mean, sd = (np.asarray(by_name[name], dtype=float) for name in SCALES)
+        params = [np.asarray(by_name[name]).reshape(shape) for name, shape in shapes]
+        out, _ = kernel.forward(params, (pdf[inputs].to_numpy() - mean[:-1]) / sd[:-1])
+        return pd.DataFrame(
+            {
+                key: pdf[key],
+                time: pdf[time],
+                "actual": pdf["_actual"],
+                "predicted": out * sd[-1] + mean[-1],
+            }
+        )
+
+    group = [key, "_shard"]
+    states = _for_shards(state, spread).groupBy(*group)
+    schema = f"{key} string, {time} timestamp, actual double, predicted double"
+    return rows.groupBy(*group).cogroup(states).applyInPandas(score, schema)
+
+
+def _test_scores(df, features, label, parameters, kernel, key, time) -> DataFrame:
+    test = df.filter(~F.col("is_train"))
+    return score_net(parameters, test, features, kernel, label, key=key, time=time)
 
 
 def _alone(shard):
@@ -223,64 +339,51 @@ def _with_state(shard, columns):
     )
 
 
-def _standardised(df, features, label, scale_label, shard_rows, key, time):
-    """A stored table of standardised rows; most shards of a symbol, shards and train rows."""
+def _standardised(df, features, label, scale_label, shards, key, time):
+    """A stored table of standardised train rows, the scales by symbol, the number of symbols."""
     train = F.col("is_train")
-    aggs = [
-        F.count(F.when(train, 1)).alias("_n_train"),
-        F.count(F.when(~train, 1)).alias("_n_test"),
-    ]
+    aggs = []
     for i, c in enumerate([*features, label]):
-        value = F.when(train, F.col(c).cast("double"))
+        value = F.col(c).cast("double")
         aggs += [F.avg(value).alias(f"_m{i}"), F.stddev_pop(value).alias(f"_s{i}")]
-    stats = df.groupBy(key).agg(*aggs)
     n = len(features)
+    stats = df.filter(train).groupBy(key).agg(*aggs)
     sd = [F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i in range(n + 1)]
-    scaled = [(F.col(c) - F.col(f"_m{i}")) / sd[i] for i, c in enumerate(features)]
-    mean, spread = (F.col(f"_m{n}"), sd[n]) if scale_label else (F.lit(0.0), F.lit(1.0))
-    actual = F.col(label).cast("double")
-    n_shards = F.ceil(F.col("_n_train") / shard_rows).cast("int")
-    n_test_shards = F.ceil(F.col("_n_test") / shard_rows).cast("int")
-    own_shards = F.when(train, n_shards).otherwise(n_test_shards)
-    data = df.join(stats.filter("_n_train > 0"), key).select(
+    mean = [F.coalesce(F.col(f"_m{i}"), F.lit(0.0)) for i in range(n + 1)]
+    if not scale_label:
+        mean[n], sd[n] = F.lit(0.0), F.lit(1.0)
+    scales = cut_lineage(stats.select(key, F.array(*mean).alias("_means"), F.array(*sd).alias("_sds")))
+    scaled = [
+        ((F.col(c).cast("double") - F.col("_means")[i]) / F.col("_sds")[i])
+        for i, c in enumerate([*features, label])
+    ]
+    rows = join_symbols(df.filter(train), scales, [key], [key, time])
+    data = rows.select(
         key,
-        time,
-        "is_train",
+        train.alias("is_train"),
         epoch_seconds(time).alias("_sec"),
-        *[x.alias(f"_x{i}") for i, x in enumerate(scaled)],
-        ((actual - mean) / spread).alias("_y"),
-        actual.alias("_actual"),
-        mean.alias("_mean"),
-        spread.alias("_sd"),
-        n_shards.alias("_shards"),
-        n_test_shards.alias("_test_shards"),
-        F.pmod(F.xxhash64(key, epoch_seconds(time)), own_shards).cast("int").alias("_shard"),
+        *[x.alias(f"_x{i}") for i, x in enumerate(scaled[:-1])],
+        scaled[-1].alias("_y"),
+        F.col("_means")[n].alias("_mean"),
+        F.col("_sds")[n].alias("_sd"),
+        F.pmod(F.xxhash64(key, epoch_seconds(time)), F.lit(shards)).cast("int").alias("_shard"),
     )
-    data = staged(data)
-    sizes = data.groupBy(key).agg(
-        F.max("_shards").alias("_shards"), F.count(F.when(train, 1)).alias("_n")
-    )
-    most, total, n_rows = sizes.agg(F.max("_shards"), F.sum("_shards"), F.sum("_n")).first()
-    return data, most or 1, total or 1, n_rows or 0
+    return staged(data), scales, max(1, scales.count())
 
 
-def _for_shards(state: DataFrame, count: str) -> DataFrame:
+def _for_shards(state: DataFrame, count: int) -> DataFrame:
     """The common state of a symbol, once per shard."""
-    shards = F.sequence(F.lit(0), F.col(count) - 1)
-    return state.filter(F.col(count) > 0).withColumn("_shard", F.explode(shards))
+    return state.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
 
 
-def _averaged(trained: DataFrame, data: DataFrame, key: str) -> DataFrame:
+def _averaged(trained: DataFrame, key: str) -> DataFrame:
     """Row-weighted mean state per symbol, as one vector aggregate with partials."""
     weight = F.col("_n").cast("double")
     means = trained.groupBy(key).agg(
         Summarizer.mean(array_to_vector("_state"), weight).alias("_state"),
         F.max("_step").alias("_step"),
     )
-    shards = data.groupBy(key).agg(
-        F.max("_shards").alias("_shards"), F.max("_test_shards").alias("_test_shards")
-    )
-    return means.join(shards, key).withColumn("_state", vector_to_array("_state"))
+    return means.withColumn("_state", vector_to_array("_state"))
 
 
 def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
@@ -295,33 +398,8 @@ def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
     )
 
 
-def _predictions(data, state, kernel, inputs, key, time) -> DataFrame:
-    group = [key, "_shard"]
-    shapes = kernel.shapes(len(inputs))
-    schema = f"{key} string, {time} timestamp, actual double, predicted double"
-    test = data.filter(~F.col("is_train")).select(
-        *group, F.col(time).cast("timestamp").alias(time), *inputs, "_actual", "_mean", "_sd"
-    )
-
-    def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pd.DataFrame(columns=[key, time, "actual", "predicted"])
-        params = views(np.asarray(states["_state"].iloc[0]), shapes)
-        out, _ = kernel.forward(params, pdf[inputs].to_numpy())
-        return pd.DataFrame(
-            {
-                key: pdf[key],
-                time: pdf[time],
-                "actual": pdf["_actual"],
-                "predicted": out * pdf["_sd"] + pdf["_mean"],
-            }
-        )
-
-    states = _for_shards(state, "_test_shards").select(*group, "_state").groupBy(*group)
-    return test.groupBy(*group).cogroup(states).applyInPandas(score, schema)
-
-
-def _parameters(state: DataFrame, shapes, key: str) -> DataFrame:
+def _parameters(state: DataFrame, scales: DataFrame, shapes, key: str) -> DataFrame:
+    """``Stock, name, shape, values``: the net's parameters, and the scale of its inputs."""
     cells, start = [], 1
     for name, shape in shapes:
         length = math.prod(shape)
@@ -333,4 +411,9 @@ def _parameters(state: DataFrame, shapes, key: str) -> DataFrame:
             )
         )
         start += length
-    return state.select(key, F.explode(F.array(*cells)).alias("_p")).select(key, "_p.*")
+    for name, column in zip(SCALES, ("_means", "_sds")):
+        cells.append(
+            F.struct(F.lit(name).alias("name"), F.array(F.size(column)).alias("shape"), F.col(column).alias("values"))
+        )
+    both = state.select(key, "_state").join(scales, key)
+    return both.select(key, F.explode(F.array(*cells)).alias("_p")).select(key, "_p.*")

@@ -17,10 +17,12 @@ from barloom.models import (
     forest,
     load_models,
     save_models,
+    score_net,
     score_per_symbol,
     write_scores,
 )
-from barloom.models.kernels import FactorPairs, GatedCells, views
+from barloom.models.kernels import FactorPairs, GatedCells, products, train_on_moments, views
+from barloom.models.shards import train_shard
 from barloom.plans import DIRECTION_FEATURES, PRICE_FEATURES
 from barloom.schema import staged
 from barloom.testdata import orders_bars
@@ -175,7 +177,8 @@ def test_gated_net(spark, features, spread, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "parameters"))
     table = fitted.parameters.filter(F.col("Stock") == history[0].Stock).collect()
     assert sorted(stored.collect()) == sorted(fitted.parameters.collect())
-    assert [(r.name, tuple(r.shape)) for r in table] == shapes
+    assert [(r.name, tuple(r.shape)) for r in table[: len(shapes)]] == shapes
+    assert [r.name for r in table[len(shapes) :]] == ["scale.mean", "scale.sd"]
     assert all(len(r["values"]) == math.prod(r.shape) for r in table)
 
     moved = fit_gated_net(features.repartition(5), PRICE_FEATURES, **options)
@@ -185,17 +188,99 @@ def test_gated_net(spark, features, spread, tmp_path):
 
 
 def test_gated_net_in_shards(features, spread):
-    """A symbol larger than a shard trains in many tasks and still learns."""
+    """A symbol trains in many tasks and still learns."""
     fitted = fit_gated_net(
-        features, PRICE_FEATURES, hidden=16, epochs=30, lr=5e-3, batch=16,
-        shard_rows=60, sync_epochs=5,
-    )
+        features, PRICE_FEATURES, hidden=16, epochs=30, lr=5e-3, batch=8, shards=6, sync_epochs=5
+    )
     preds = plans.predictions(fitted.predictions, "net", "actual", "predicted")
     _check(preds, features, spread)
     assert fitted.history.count() == 30 * len(spread)
     assert fitted.parameters.select("Stock").distinct().count() == len(spread)
 
 
+def _history(make_bars, sizes):
+    rng = np.random.default_rng(3)
+    rows = [(s, d, float(20 + rng.integers(0, 900) / 100)) for s, n in sizes.items() for d in range(n)]
+    return plans.price_features(make_bars(rows))
+
+
+def _of(preds, symbol):
+    return sorted(tuple(r) for r in preds.filter(F.col("Stock") == symbol).collect())
+
+
+@pytest.mark.parametrize("fit", ["net", "factorization"])
+def test_a_model_does_not_depend_on_other_symbols(make_bars, fit):
+    def train(sizes):
+        rows = staged(_history(make_bars, sizes))
+        if fit == "factorization":
+            return fit_factorization(rows, PRICE_FEATURES, epochs=20)
+        return fit_gated_net(rows, PRICE_FEATURES, hidden=8, epochs=12, batch=16, sync_epochs=5)
+
+    one, other = train({"A": 100, "B": 60}), train({"A": 100, "B": 900, "C": 5})
+    # Sums of parts come in any order, which shows in the last digits.
+    pairs = zip(_of(one.predictions, "A"), _of(other.predictions, "A"), strict=True)
+    assert all(a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-10) for a, b in pairs)
+    assert len(_of(other.predictions, "B")) == 270
+
+
+def test_factorization_is_the_same_in_any_number_of_shards(make_bars):
+    rows = staged(_history(make_bars, {"A": 400, "B": 30}))
+    want = None
+    for shards in (1, 3, 8):
+        fitted = fit_factorization(rows, PRICE_FEATURES, shards=shards, epochs=60)
+        got = [r[3] for r in sorted(map(tuple, fitted.predictions.collect()))]
+        want = want or got
+        assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_moments_give_the_gradient_of_the_rows():
+    rng = np.random.default_rng(4)
+    kernel, x, y = FactorPairs(3), rng.normal(size=(50, 4)), rng.normal(size=50)
+    z = np.column_stack([products(x), y])
+    theta, losses = train_on_moments(kernel, (z.T @ z).ravel(), 50, 4, 0.05, 40, 7)
+    state = np.concatenate([kernel.start(4, 7), np.zeros(2 * len(kernel.start(4, 7)))])
+    plain, _, squared, _ = train_shard(kernel, x, y, state, 0, 0.05, None, 40, [1], 0.0)
+    assert theta == pytest.approx(plain[: len(theta)], abs=1e-6)
+    assert losses == pytest.approx([s / 50 for s in squared], rel=1e-6)
+
+
+def test_forest_does_not_depend_on_the_layout(features):
+    options = {"symbols": ["2-HIGH"]}
+    a = fit_per_symbol(features, forest(PRICE_FEATURES, trees=5), **options).models
+    moved = features.repartition(7, "label")
+    b = fit_per_symbol(moved, forest(PRICE_FEATURES, trees=5), **options).models
+    assert _sorted(score_per_symbol(a, features, "f")) == _sorted(score_per_symbol(b, features, "f"))
+
+
+def test_a_stored_net_scores_new_rows(spark, features, tmp_path):
+    fitted = fit_gated_net(features, PRICE_FEATURES, hidden=8, epochs=10, batch=16)
+    fitted.parameters.write.parquet(str(tmp_path / "net"))
+    stored = spark.read.parquet(str(tmp_path / "net"))
+    kernel = GatedCells(2, 8)
+    test = features.filter("NOT is_train")
+    again = score_net(stored, test, PRICE_FEATURES, kernel, "label")
+    assert _sorted(again) == _sorted(fitted.predictions)
+    unlabelled = score_net(stored, test.drop("label"), PRICE_FEATURES, kernel)
+    assert unlabelled.filter("actual IS NULL").count() == test.count()
+
+
+def test_no_models_give_an_empty_table(spark, features, tmp_path):
+    preds = score_per_symbol({}, features, "none")
+    assert preds.count() == 0
+    written = write_scores({}, features, "none", str(tmp_path / "scores"))
+    assert written.count() == 0 and written.columns == preds.columns
+    save_models({}, spark, str(tmp_path / "models"))
+    assert load_models(spark, str(tmp_path / "models")) == {}
+
+
+def test_scores_of_an_earlier_run_stay_out(features, tmp_path):
+    fitted = fit_per_symbol(features, forest(PRICE_FEATURES, trees=2)).models
+    path = str(tmp_path / "scores")
+    assert write_scores(fitted, features, "f", path).select("Stock").distinct().count() == len(fitted)
+    one = dict([sorted(fitted.items())[0]])
+    assert {r.Stock for r in write_scores(one, features, "f", path).collect()} == set(one)
+
+
 def test_direction_net_scores(spark, sf_dir):
     rows = op.hash_split(plans.direction_features(orders_bars(spark, sf_dir)), [0.7, 0.3])
     rows = rows.withColumn("is_train", F.col("split") == 0)
