@@ -219,11 +219,11 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
         def run(texts):
             ids, counts = encoder.encode(texts)
-            return [[part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []]
+            return [[part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] if len(texts) else []]
 
         return run
 
-    return map_texts(docs.select("doc_id", "text"), make, "ids array<int>")
+    return map_texts(docs.select("doc_id", "text"), make, "ids array<int>", as_column=True)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -267,4 +267,4 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         return run
 
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs.select("doc_id", "text"), make, fields)
+    return map_texts(docs.select("doc_id", "text"), make, fields, as_column=True)

@@ -43,11 +43,12 @@ def map_texts(
     make_kernel: Callable[[], Kernel],
     fields: str,
     text: str = "text",
+    as_column: bool = False,
     drop: tuple[str, ...] = ("text",),
 ) -> DataFrame:
     """``df`` without the ``drop`` columns and with the kernel's columns (``fields`` as DDL).
 
-    ``make_kernel`` is called once a task. Batches pass through as Arrow; nothing is shuffled.
+    ``make_kernel`` is called once a task; with ``as_column`` it gets Arrow columns. Batches pass through as Arrow; nothing is shuffled.
     """
     bounded_batches(df.sparkSession)
     added = T.StructType.fromDDL(fields)
@@ -60,7 +61,8 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make_kernel()
         for batch in batches:
-            columns = kernel(batch.column(text).to_pylist())
+            given = batch.column(text)
+            columns = kernel(given if as_column else given.to_pylist())
             arrays = [batch.column(n) for n in names]
             arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=names + added.names)

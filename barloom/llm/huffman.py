@@ -156,14 +156,19 @@ class TokenFiles:
     shards: str
 
 
-def pack_ids(ids: np.ndarray) -> bytes:
-    """Ids as compressed bytes: the width of a number, then the numbers."""
-    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
-    return bytes([width]) + zstandard.compress(ids.astype(f"<u{width}").tobytes(), 3)
+class IdPacker:
+    """Ids as compressed bytes, and back: the width of a number, then the numbers."""
 
+    def __init__(self) -> None:
+        self._compress = zstandard.ZstdCompressor(level=1).compress
+        self._decompress = zstandard.ZstdDecompressor().decompress
 
-def unpack_ids(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(packed[1:]), dtype=f"<u{packed[0]}").astype(np.uint32)
+    def pack(self, ids: np.ndarray) -> bytes:
+        width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+        return bytes([width]) + self._compress(ids.astype(f"<u{width}").tobytes())
+
+    def unpack(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(self._decompress(packed[1:]), dtype=f"<u{packed[0]}").astype(np.uint32)
 
 
 def id_counts(packed: DataFrame) -> np.ndarray:
@@ -174,10 +179,10 @@ def id_counts(packed: DataFrame) -> np.ndarray:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
+        total, unpack = np.zeros(0, dtype=np.int64), IdPacker().unpack
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                own = np.bincount(unpack_ids(ids))
+            if batch.num_rows:
+                own = np.bincount(np.concatenate([unpack(b) for b in batch.column("ids").to_pylist()]))
                 if len(own) > len(total):
                     own, total = total, own.astype(np.int64)
                 total[: len(own)] += own
@@ -196,10 +201,10 @@ def _tokenized(docs: DataFrame, vocabulary: str, pattern: str, cuts: np.ndarray)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(vocabulary, pattern)
+        encoder, pack = library_encoder(vocabulary, pattern), IdPacker().pack
         for batch in batches:
-            ids, counts = encoder.encode(batch.column("text").to_pylist())
-            own = [pack_ids(np.append(part, END_ID)) for part in np.split(ids, np.cumsum(counts)[:-1])]
+            ids, counts = encoder.encode(batch.column("text"))
+            own = [pack(np.append(part, END_ID)) for part in np.split(ids, np.cumsum(counts)[:-1])]
             number = batch.column("doc_id").cast(pa.int64()).fill_null(np.iinfo(np.int64).min)
             shard = np.searchsorted(cuts, number.to_numpy(zero_copy_only=False), side="right")
             yield pa.RecordBatch.from_arrays(
@@ -224,6 +229,7 @@ def _blocks(ordered: DataFrame, lengths: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["shard", "block", "first", "n_ids", "doc_ids", "counts", "checkpoints", "bits"]
         held: list = []
+        unpack = IdPacker().unpack
         size, number, first, shard = 0, 0, 0, None
 
         def block(doc_type: pa.DataType) -> pa.RecordBatch:
@@ -242,7 +248,7 @@ def _blocks(ordered: DataFrame, lengths: np.ndarray) -> DataFrame:
                     held, first, number, size = [], first + size, number + 1, 0
                 if own != shard:
                     shard, number, first = own, 0, 0
-                held.append((doc, n, unpack_ids(packed)))
+                held.append((doc, n, unpack(packed)))
                 size += n
         if held:
             yield block(of)

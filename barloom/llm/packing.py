@@ -38,7 +38,7 @@ def cut(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(vocabulary, pattern)
         for batch in batches:
-            ids, counts = encoder.encode(batch.column("text").to_pylist())
+            ids, counts = encoder.encode(batch.column("text"))
             rows, pieces, starts, lengths, sums = [], [], [], [], []
             at = 0
             for row, n in enumerate(counts.tolist()):
