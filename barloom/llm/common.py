@@ -16,7 +16,7 @@ from barloom.schema import shared_dir
 
 #: Bounds of one Arrow batch between the JVM and Python: memory of a Python worker.
 BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 #: (texts of one batch, None for NULL) -> one list or Arrow array for each new column.
 Kernel = Callable[[list], list]
@@ -66,6 +66,8 @@ def map_texts(
             arrays = [batch.column(n) for n in names]
             arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=names + added.names)
+        # Workers live on: give back what the task no longer needs.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -80,6 +82,7 @@ def edit_rows(
         edit = make_edit()
         for batch in batches:
             yield edit(batch)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, df.schema)
 

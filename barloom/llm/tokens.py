@@ -20,11 +20,11 @@ import pyarrow as pa
 import regex
 
 #: Bounds of the stores of chunks and pre-tokens, which then start anew.
-STORE_CHUNKS = 1_500_000
+STORE_CHUNKS = 800_000
 STORE_BYTES = 32 << 20
-STORE_WORDS = 250_000
+STORE_WORDS = 30_000
 #: Bytes of one pass, and of the longest chunk that is stored.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
 LONG_CHUNK = 1 << 12
 
 #: Encodes many different chunks: a list of id sequences, one for each.

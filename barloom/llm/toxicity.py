@@ -29,7 +29,7 @@ RATE = 0.1
 DECAY = 1e-4
 THRESHOLD = 0.5
 #: Words whose scores a worker remembers.
-STORE_WORDS = 300_000
+STORE_WORDS = 100_000
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
