@@ -104,7 +104,9 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     """
     prints = store(fingerprints(docs, words), "simhash")
     once = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    once = once.checkpoint()
+    # Each row becomes many variants next: as many tasks as a shuffle has, not fewer.
+    tasks = int(once.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = once.repartition(tasks, "fp").checkpoint()
     groups = components(near_links(once, max_bits))
     of = once.join(groups, "node", "left").select(
         F.col("fp").alias("of_fp"), F.coalesce("component", "node").alias("component_id")
