@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 
 #: Bounds of the stores of chunks and pre-tokens, which then start anew.
-STORE_CHUNKS = 800_000
+STORE_CHUNKS = 1_500_000
 STORE_BYTES = 32 << 20
 STORE_WORDS = 30_000
 #: Bytes of one pass, and of the longest chunk that is stored.
@@ -219,6 +219,10 @@ class ChunkEncoder:
         return np.fromiter(chain.from_iterable(sequences), dtype=np.uint32, count=int(counts.sum())), counts
 
 
+#: Marks that end a match of letters and make one of their own; no apostrophe, which may not.
+MARKS = frozenset(".,;:!?")
+
+
 class WordStore:
     """Ids of a chunk from the ids of its pre-tokens, each of which is encoded once."""
 
@@ -232,8 +236,16 @@ class WordStore:
             self._words.clear()
         words, encode, find, out = self._words, self._encode_word, self._find, []
         for chunk in chunks:
+            # Letters after at most one space are one match, and so are marks after them.
+            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                out.append(encode(chunk))
+                continue
             ids: list[int] = []
-            for word in find(chunk):
+            if chunk[-1] in MARKS and chunk[1:-1].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                found = (chunk[:-1], chunk[-1])
+            else:
+                found = find(chunk)
+            for word in found:
                 known = words.get(word)
                 if known is None:
                     known = encode(word)
@@ -269,9 +281,16 @@ def library_encoder(vocabulary: str, pattern: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
 
     model, letters = Tokenizer.from_file(vocabulary).model, byte_letters()
+    tokenize = model.tokenize
+
+    space = letters[ord(" ")]
 
     def encode_word(word: str) -> list[int]:
-        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letters))]
+        if word.isascii() and word[1:].isalpha():
+            spelled = space + word[1:] if word[0] == " " else word
+            if spelled[0] == space or word.isalpha():
+                return [t.id for t in tokenize(spelled)]
+        return [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]
 
     store = WordStore(pattern, encode_word)
     return _ENCODERS.setdefault((vocabulary, pattern), ChunkEncoder(store.encode_many))
