@@ -18,7 +18,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import map_texts, worker_store
 from .tokens import ChunkEncoder, WordStore
 
 NEVER = 1 << 62
@@ -200,15 +200,12 @@ class TextEncoder:
         self.chunks = ChunkEncoder(store.encode_many)
 
 
-_ENCODERS: dict[tuple[str, str], TextEncoder] = {}
-
-
 def text_encoder(vocabulary: str, pattern: str) -> TextEncoder:
     """The worker's encoder for a rank file and a pattern of pre-tokens."""
-    key = (vocabulary, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(read_ranks(vocabulary), pattern)
-    return _ENCODERS[key]
+    key, known = ("prefix", vocabulary, pattern), worker_store()
+    if key not in known:
+        known[key] = TextEncoder(read_ranks(vocabulary), pattern)
+    return known[key]
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:

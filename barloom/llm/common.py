@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def worker_store() -> dict:
+    """A dictionary that lives as long as the Python process, over the tasks of a worker.
+
+    Module variables do not: a task brings its own copies of this package's functions.
+    """
+    module = sys.modules.setdefault("_barloom_worker", ModuleType("_barloom_worker"))
+    return module.__dict__.setdefault("store", {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

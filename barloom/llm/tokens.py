@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 
+from .common import worker_store
+
 #: Bounds of the stores of chunks and pre-tokens, which then start anew.
 STORE_CHUNKS = 1_500_000
 STORE_BYTES = 32 << 20
@@ -256,10 +258,6 @@ class WordStore:
         return out
 
 
-#: One encoder a Python worker and vocabulary: workers are used again by later tasks.
-_ENCODERS: dict[tuple, ChunkEncoder] = {}
-
-
 def byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -274,9 +272,9 @@ def library_encoder(vocabulary: str, pattern: str) -> ChunkEncoder:
     once; special tokens' strings count as ordinary text, and none is added. tests/llm holds
     it against the library's encoding of whole texts.
     """
-    found = _ENCODERS.get((vocabulary, pattern))
-    if found is not None:
-        return found
+    known = worker_store()  # one encoder for all tasks of a worker
+    if ("library", vocabulary, pattern) in known:
+        return known["library", vocabulary, pattern]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
@@ -293,4 +291,5 @@ def library_encoder(vocabulary: str, pattern: str) -> ChunkEncoder:
         return [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]
 
     store = WordStore(pattern, encode_word)
-    return _ENCODERS.setdefault((vocabulary, pattern), ChunkEncoder(store.encode_many))
+    known["library", vocabulary, pattern] = ChunkEncoder(store.encode_many)
+    return known["library", vocabulary, pattern]
