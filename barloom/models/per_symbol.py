@@ -25,7 +25,7 @@ from ..schema import KEY, TIME
 
 # Forests draw their samples per partition: a fixed number, dealt by hash, keeps the trees the
 # same on any layout and at any size.
-PARTITIONS = 8
+PARTITIONS = 4
 SCALED_LABEL, SCALED_PREDICTION = "label_z", "prediction_z"
 
 
