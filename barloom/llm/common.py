@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import uuid
@@ -39,6 +40,14 @@ def worker_store() -> dict:
     return module.__dict__.setdefault("store", {})
 
 
+def release_memory() -> None:
+    """At the end of a task: workers live on, so give back what it no longer needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -77,8 +86,7 @@ def map_texts(
             arrays = [batch.column(n) for n in names]
             arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=names + added.names)
-        # Workers live on: give back what the task no longer needs.
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -93,7 +101,7 @@ def edit_rows(
         edit = make_edit()
         for batch in batches:
             yield edit(batch)
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     return df.mapInArrow(run, df.schema)
 

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, new_path, store
+from .common import bounded_batches, new_path, release_memory, store
 from .tokens import library_encoder
 
 END_ID = 0
@@ -216,6 +216,7 @@ def _tokenized(docs: DataFrame, vocabulary: str, pattern: str, cuts: np.ndarray)
                 ],
                 names=["doc_id", "n", "ids", "shard"],
             )
+        release_memory()
 
     fields = f"doc_id {doc_type}, n long, ids binary, shard long"
     return docs.select("doc_id", "text").mapInArrow(run, fields)
@@ -252,6 +253,7 @@ def _blocks(ordered: DataFrame, lengths: np.ndarray) -> DataFrame:
                 size += n
         if held:
             yield block(of)
+        release_memory()
 
     return ordered.mapInArrow(run, BLOCK_FIELDS.replace("{doc}", doc_type))
 
@@ -288,7 +290,9 @@ def write_token_files(
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     ids.groupBy("shard").agg(F.sum("n").alias("n_ids")).write.parquet(f"{path}/shards")
-    ordered = ids.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
+    # A shard is a partition: hashes of their numbers would put several into one.
+    placed = ids.repartitionById(shards, F.col("shard").cast("int"))
+    ordered = placed.sortWithinPartitions("shard", "doc_id", "ids")
     _blocks(ordered, lengths).write.option("compression", "none").parquet(f"{path}/blocks")
     return TokenFiles(f"{path}/blocks", f"{path}/codebook", f"{path}/shards")
 
@@ -319,6 +323,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles, digests: bool = Fal
                 part = batch.slice(at, end - at)
                 yield _documents(part, table, digests)
                 at = end
+        release_memory()
 
     names = ["shard", "first", "n_ids", "doc_ids", "counts", "checkpoints", "bits"]
     fields = f"shard long, doc_id {doc_type}, within long, n_tokens long, {content}"

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, store
+from .common import bounded_batches, release_memory, store
 from .tokens import library_encoder
 
 CAPACITY = 2048
@@ -63,6 +63,7 @@ def cut(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECE_FIELDS.replace("doc_id long", f"doc_id {doc_type}"))
 
