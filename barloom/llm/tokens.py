@@ -22,7 +22,7 @@ import regex
 from .common import worker_store
 
 #: Bounds of the stores of chunks and pre-tokens, which then start anew.
-STORE_CHUNKS = 800_000
+STORE_CHUNKS = 1_040_000
 STORE_BYTES = 32 << 20
 STORE_WORDS = 30_000
 #: Bytes of one pass, and of the longest chunk that is stored.
