@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import crc_fold, edit_rows, map_texts
 
-#: Bytes of a language's dictionary; documents of a language in the training sample, and the
-#: characters that are read of each: the bounds of what the fit reads.
+#: Bytes of a language's dictionary; different texts of a language in the training sample, and
+#: the characters that are read of each: the bounds of what the fit reads.
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 4_000
@@ -72,23 +72,33 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
     """A dictionary for each value of ``lang``, from ``docs(doc_id, text, lang)``.
 
     Only rows with a language outside the held-out crc32 fold are read. Of each language a
-    sample of ``SAMPLE_DOCS`` documents, in the order of a hash of their text, gives up to
-    ``SAMPLE_CHARS`` characters each and ``DICTIONARY_BYTES`` bytes together. The driver gets
-    that much for each language. No labelled rows give no languages.
+    sample of ``SAMPLE_DOCS`` different texts, in the order of a hash of what is read of them,
+    gives up to ``SAMPLE_CHARS`` characters each and ``DICTIONARY_BYTES`` bytes together, which
+    mostly is the smaller bound. Copies take one place. The driver gets that much for each
+    language. No labelled rows give no languages.
     """
     length = F.length("text")
+    part = F.substring("text", 1, SAMPLE_CHARS)
     eligible = (
         docs.select("doc_id", "text", "lang")
         .where("lang IS NOT NULL AND text IS NOT NULL")
         .where(F.coalesce(crc_fold("doc_id", folds) != held_out, F.lit(False)))
         # Texts of middling length first, then any.
-        .select("lang", F.xxhash64("text").alias("h"), (~length.between(200, SAMPLE_CHARS)).cast("int").alias("odd"), F.substring("text", 1, SAMPLE_CHARS).alias("part"))
+        .select("lang", (~length.between(200, SAMPLE_CHARS)).cast("int").alias("odd"), F.xxhash64(part).alias("h"), part.alias("part"))
     )
-    order = Window.partitionBy("lang").orderBy("odd", "h", "part")
-    rows = (
-        eligible.withColumn("place", F.row_number().over(order))
+    # Copies are dropped by their hashes, so that no texts are shuffled for it.
+    order = Window.partitionBy("lang").orderBy("odd", "h")
+    chosen = (
+        eligible.select("lang", "odd", "h")
+        .distinct()
+        .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= SAMPLE_DOCS)
-        .select("lang", "place", "part")
+    )
+    # At most SAMPLE_DOCS numbers for each language.
+    rows = (
+        eligible.join(F.broadcast(chosen), ["lang", "odd", "h"])
+        .groupBy("lang", "place")
+        .agg(F.min("part").alias("part"))
         .collect()
     )
     found: dict[str, bytearray] = {}

@@ -136,3 +136,18 @@ def test_language_of_odd_rows(spark):
     empty = frame.limit(0)
     assert langid.fit_languages(empty).dictionaries == {}
     assert langid.identify(empty, own).count() == 0 == langid.drop_unidentified(empty, own).count()
+
+
+def test_copies_take_one_place_in_a_dictionary(spark):
+    """Thousands of copies of each text: every text is in its language's dictionary all the same."""
+    words = {f"l{n}": [f"{chr(97 + n)}{chr(97 + i % 26)}{chr(97 + i // 26)} " for i in range(60)] for n in range(2)}
+    distinct = spark.createDataFrame([(lang, (w * 60).strip()) for lang, own in words.items() for w in own], "lang string, text string")
+    docs = distinct.crossJoin(spark.range(300)).select(F.monotonically_increasing_id().alias("doc_id"), "lang", "text")
+    own = langid.fit_languages(docs).dictionaries
+    for lang, parts in words.items():
+        assert [w for w in parts if w.strip().encode() not in own[lang]] == []
+    # Texts that differ only beyond what is read of them are copies too.
+    tails = spark.range(1000).selectExpr("id AS doc_id", "'x' AS lang", "repeat('same words ', 500) || id AS text")
+    other = spark.createDataFrame([(i, "x", f"tale {'abcdefgh'[i % 8]}{'abcdefgh'[i // 8]}") for i in range(64)], "doc_id long, lang string, text string")
+    found = langid.fit_languages(tails.unionByName(other)).dictionaries["x"]
+    assert found.count(b"same words same") < 400 and found.count(b"tale") > 30
