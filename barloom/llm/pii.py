@@ -25,11 +25,16 @@ ROUNDS = 3
 MIN_SEEDS = 5
 MIN_PATTERN = 0.5
 MIN_INSTANCE = 0.8
-#: Words of a context, characters before the identifier in which they are looked for, and
-#: the longest identifier.
+#: Words of a context, and characters before the identifier in which they are looked for.
 CONTEXT_WORDS = 2
 CONTEXT_CHARS = 80
-LONGEST = 64
+#: Longest parts of an address before and after the @ (RFC 5321), and longest IP-like token.
+LONGEST_LOCAL = 64
+LONGEST_HOST = 255
+LONGEST_IP = 64
+#: Digits of a phone and of a card number.
+PHONE_DIGITS = (7, 15)
+CARD_DIGITS = (12, 19)
 
 # Possessive repeats change no match here and keep long runs of digits linear: what follows
 # a repeat is never a character that the repeat takes.
@@ -40,7 +45,28 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
-SPACE = re.compile(r"\s")
+
+# Loose shapes of identifiers that the base patterns miss. TAKEN stands for characters that
+# belong to another identifier.
+TAKEN = "\uffff"
+BREAKS = r"\s\"'(),:;<>@\[\]\\{}/=&?|\u3000-\u303f\uff00-\uff20\uffff"
+#: Scripts whose words stand next to an address without a space.
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+NEAR_EMAIL = [re.compile(f"[^{BREAKS}{UNSPACED}]++"), re.compile(f"[^{BREAKS}]++")]
+TOKEN = re.compile(r"[0-9A-Za-z_*.:%-]++")
+QUAD = re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9A-Za-z]|\.[0-9])")
+#: Groups of digits joined by dots, dashes, brackets, or by a space with them.
+NUMBERS = re.compile(
+    r"(?:[+(]{1,2}|(?<![0-9A-Za-z_\uffff]))[0-9]++(?:(?:[().+-]++|[)-]?\x20[.-]?\x20?\(?)[0-9]++)*(?![0-9A-Za-z_\uffff])"
+)
+WORD_OF_NUMBER = re.compile(r"[+(]{0,2}[0-9](?:[^\x20]*[0-9])?")
+GROUP = re.compile(r"[+(]{0,2}[0-9]++")
+#: Usual groups of phones and cards: where one number ends in a row of several.
+GROUPED = re.compile(
+    r"(?:(?:(?:\+[0-9]{1,3}|1)[\x20.-])?\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-][0-9]{4}"
+    r"|[0-9]{4}(?:[\x20-][0-9]{4}){2}[\x20-][0-9]{1,7}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}"
+    r"|\(?0[0-9]{1,4}\)?[\x20.-][0-9]{5,11}|0[0-9](?:[\x20.-][0-9]{2}){4})(?![0-9])"
+)
 EDGES = ".,;:!?\"'()[]{}<>"
 
 Span = tuple[str, int, int]
@@ -103,31 +129,122 @@ def context(text: str, start: int) -> str:
     return " ".join(text[max(0, start - CONTEXT_CHARS) : start].lower().split()[-CONTEXT_WORDS:])
 
 
-def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Words with a digit or an @ that no span touches, without the marks around them."""
-    found, done, i = [], 0, 0
-    taken = sorted((s, e) for _, s, e in spans)
-    for m in MARK.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and m.start() - start <= LONGEST and not text[start - 1].isspace():
-            start -= 1
-        space = SPACE.search(text, m.end())
-        end = done = space.start() if space else len(text)
-        if end - start > LONGEST:
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with the spans' characters replaced, so that no shape reaches into them."""
+    parts, at = [], 0
+    for start, end in sorted(spans):
+        if end > at:
+            parts += [text[at:start], TAKEN * (end - max(start, at))]
+            at = end
+    return "".join([*parts, text[at:]])
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    while start < end and text[start] in EDGES:
+        start += 1
+    while start < end and text[end - 1] in EDGES:
+        end -= 1
+    return start, end
+
+
+def _near_emails(text: str) -> list[tuple[int, int]]:
+    """local@host of any letters, wherever it stands in a run of characters."""
+    found, after = [], 0
+    at = text.find("@")
+    while at >= 0:
+        start, host, least = at, None, max(after, at - LONGEST_LOCAL - 1)
+        for part in NEAR_EMAIL:
+            if start == at:
+                while start > least and part.match(text[start - 1]):
+                    start -= 1
+            host = host or part.match(text, at + 1)
+        end = at + 1
+        if start < at and host:
+            end = host.end()
+            own = _trimmed(text, start, end)
+            if at - own[0] <= LONGEST_LOCAL and own[1] - at - 1 <= LONGEST_HOST and own[0] < at < own[1] - 1:
+                found.append(own)
+        after = end
+        at = text.find("@", end)
+    return found
+
+
+def _near_ips(text: str) -> list[tuple[int, int]]:
+    """Tokens that look like addresses; of longer tokens the four groups of digits in them."""
+    found = []
+    for m in TOKEN.finditer(text):
+        if m.end() - m.start() < 5:
             continue
-        while start < end and text[start] in EDGES:
-            start += 1
-        while start < end and text[end - 1] in EDGES:
-            end -= 1
-        while i < len(taken) and taken[i][1] <= start:
-            i += 1
-        if end - start >= 5 and not any(s < end and e > start for s, e in taken[i : i + 4]):
+        start, end = _trimmed(text, *m.span())
+        if end - start > LONGEST_IP:
+            found += [q.span() for q in QUAD.finditer(text, start, end)]
+        elif "ip" in resembles(text[start:end]):
             found.append((start, end))
     return found
 
 
+def _near_numbers(text: str) -> list[tuple[int, int]]:
+    """Numbers of seven to nineteen digits, with spaces between their groups or without.
+
+    A run of groups may hold several numbers. Usual groups are taken first, then a word that
+    has enough digits by itself, else as many words as a number may have digits.
+    """
+    found = []
+    for m in NUMBERS.finditer(text):
+        if m.end() - m.start() < PHONE_DIGITS[0]:
+            continue
+        units = []
+        for w in WORD_OF_NUMBER.finditer(text, *m.span()):
+            n = len(_ascii_digits(w[0]))
+            if n <= CARD_DIGITS[1]:
+                units.append((*w.span(), n))
+            else:
+                units += [(*g.span(), len(_ascii_digits(g[0]))) for g in GROUP.finditer(text, *w.span())]
+        place = {end: i for i, (_, end, _) in enumerate(units)}
+        rest = sum(n for _, _, n in units)
+        usual = [(g := GROUPED.match(text, start, m.end())) and place.get(g.end()) for start, _, _ in units]
+        i = 0
+        while i < len(units):
+            n, last = units[i][2], i
+            if usual[i] is not None:
+                last = usual[i]
+                n = sum(u[2] for u in units[i : last + 1])
+            elif n < PHONE_DIGITS[0]:
+                most = CARD_DIGITS[1] if rest <= CARD_DIGITS[1] else PHONE_DIGITS[1]
+                for j in range(i + 1, len(units)):
+                    if n + units[j][2] > most or units[j][2] >= PHONE_DIGITS[0] or usual[j] is not None:
+                        break
+                    n, last = n + units[j][2], j
+            if PHONE_DIGITS[0] <= n <= CARD_DIGITS[1]:
+                start, end = units[i][0], units[last][1]
+                own = text[start:end]
+                # A bracket around the whole number is none of its characters.
+                if "(" in own and ")" not in own:
+                    start += own.index("(") + 1 if own.index("(") < 2 else 0
+                found.append((start, end))
+            rest -= sum(u[2] for u in units[i : last + 1])
+            i = last + 1
+    return found
+
+
+def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """What has the loose shape of an identifier and touches no span, by start, none overlapping.
+
+    Shapes are found anywhere: with spaces between groups of digits, or inside a long run of
+    characters without any space.
+    """
+    if not MARK.search(text):
+        return []
+    left = _without(text, [(s, e) for _, s, e in spans])
+    found: list[tuple[int, int]] = []
+    for shape in (_near_emails, _near_ips, _near_numbers):
+        own = shape(left)
+        if own:
+            found += own
+            left = _without(left, own)
+    return sorted((s, e) for s, e in found if e - s >= 5)
+
+
 def resembles(word: str) -> list[str]:
     """The kinds whose outer form a word has."""
     digits = len(_ascii_digits(word))
@@ -135,8 +252,8 @@ def resembles(word: str) -> list[str]:
     forms = {
         "email": "@" in word[1:],
         "ip": digits >= 4 and len(re.findall(r"[.:]", word)) >= 3,
-        "card": numeric and 12 <= digits <= 19,
-        "phone": numeric and 7 <= digits <= 15,
+        "card": numeric and CARD_DIGITS[0] <= digits <= CARD_DIGITS[1],
+        "phone": numeric and PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1],
     }
     return [kind for kind in BASE_KINDS if forms[kind]]
 

@@ -111,3 +111,45 @@ def test_odd_rows(spark):
     want = [(i, len(plain(t or "")), text_of(plain(t or ""))) for i, t in rows]
     assert got == sorted(want, key=repr)
     assert pii.find_personal_data(frame.limit(0)).count() == 0
+
+
+def cut(text):
+    return [text[s:e] for s, e in pii.candidates(text, pii.base_spans(text))]
+
+
+def test_shapes_of_candidates():
+    assert cut("dial number 212 555 7788 or (212) 555-7799, 20 7946 0958.") == ["212 555 7788", "(212) 555-7799", "20 7946 0958"]
+    assert cut("card 4111 1111 1111 1112, 3782 822463 10006 (2125557788)") == ["4111 1111 1111 1112", "3782 822463 10006", "2125557788"]
+    # Several numbers in a row; a year and a count beside one; what the words alone show.
+    assert cut("212 555 7788 212 555 7799 212 555 8800") == ["212 555 7788", "212 555 7799", "212 555 8800"]
+    assert cut("in 2023 212 555 7788 and 12 34 2125557788 2024") == ["212 555 7788", "2125557788"]
+    run = "x" * 90
+    assert cut(f'{{"{run}":"bob@intranet","tel":"212-555-7788","ip":"10.0.0.256"}}') == ["bob@intranet", "212-555-7788", "10.0.0.256"]
+    assert cut(f"https://ann@host/{run}?n=4111-1111-1111-1112&x") == ["ann@host", "4111-1111-1111-1112"]
+    assert cut("电话212-555-7788请" * 9)[:2] == ["212-555-7788"] * 2 and cut("请联系bob@host今天。田中@host") == ["bob@host", "田中@host"]
+    assert cut("jörg@host 192.168.x.12 fe80:12:34::1 10.0.0.1 212 555 7788") == ["jörg@host", "192.168.x.12", "fe80:12:34::1", "212 555 7788"]
+    assert cut("a1b2125557788c 3 4 5 1234567890123456789012 @you x@") == []
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab125.@-+ ()é电:/", max_size=60))
+def test_candidates_touch_nothing(text):
+    base = pii.base_spans(text)
+    found = pii.candidates(text, base)
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+    assert not any(s < e2 and s2 < e for s, e in found for _, s2, e2 in base)
+
+
+def test_contexts_find_spaced_numbers_and_unspaced_runs(spark):
+    rows = [(i, f"please dial number +1 (212) 555-{1000 + i} or leave it") for i in range(8)]
+    rows += [(i, f"my card no {c} ok") for i, c in enumerate(CARDS, 10)]
+    rows += [(i, f"please mail to user{i}@corp.com or leave it") for i in range(20, 28)]
+    rows += [(30, "please dial number 212 555 7788 now"), (31, "my card no 4111 1111 1111 1112 ok")]
+    rows += [(32, "please mail to bob@intranet/" + "x" * 90), (33, "the version 212 555 9999 here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(frame).collect()}
+    assert got[30] == "near_phone:19:31" and got[31] == "near_card:11:30"
+    assert got[32] == "near_email:15:27" and got[33] == ""
+
+
+CARDS = [n for i in range(60) if luhn(n := f"4111 1111 1111 {1200 + i}")]
