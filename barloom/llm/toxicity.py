@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from dataclasses import dataclass
@@ -16,6 +17,8 @@ from .common import crc_fold, edit_rows, map_texts
 #: Documents of each label in the training sample: the bound of what the fit reads.
 SAMPLE_TOXIC = 8_000
 SAMPLE_CLEAN = 12_000
+#: Longer sentences that near copies have to share, those of the smallest hashes.
+KEY_SENTENCES = 3
 #: A feature needs so many toxic documents, and so many times the share that it has in clean ones.
 MIN_TOXIC = 5
 MIN_RATIO = 20.0
@@ -93,7 +96,8 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_out: int) -> Da
     """``(text, y)`` of a bounded sample of labelled documents outside the held-out fold.
 
     Of documents that look like near copies of each other one stays, else the words of a
-    document that is often copied would count as evidence.
+    document that is often copied would count as evidence. The others are dropped before the
+    sample is bounded, by a number for each text.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -101,26 +105,42 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_out: int) -> Da
         .groupBy("doc_id")
         .agg(F.max((F.col("toxic") > 0).cast("int")).alias("y"))
     )
-    deal = F.xxhash64("doc_id", F.lit(11))
+
+    def kernel():
+        return lambda texts: [[_copies_key(t or "") for t in texts]]
+
+    open_docs = docs.select("doc_id", "text").where(crc_fold("doc_id", folds) != held_out)
+    once = (
+        map_texts(open_docs, kernel, "key long")
+        .join(known, "doc_id")
+        .groupBy("y", "key")
+        .agg(F.min("doc_id").alias("chosen_id"))
+        .withColumnRenamed("key", "chosen_key")
+        .checkpoint()
+    )
+    deal = F.xxhash64("chosen_key", F.lit(11))
     parts = [
-        known.where(F.col("y") == y).orderBy(deal, "doc_id").limit(n)
+        once.where(F.col("y") == y).orderBy(deal, "chosen_key").limit(n)
         for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
     ]
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN pairs of numbers.
-    chosen = F.broadcast(parts[0].union(parts[1]).withColumnRenamed("doc_id", "chosen_id"))
-    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("chosen_id")).select("text", "y")
-
-    def kernel():
-        return lambda texts: [[_sentence_key(t or "") for t in texts]]
-
-    keyed = map_texts(sample, kernel, "key long", drop=())
+    # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows of numbers.
+    chosen = F.broadcast(parts[0].union(parts[1]))
+    sample = open_docs.join(chosen, F.col("doc_id") == F.col("chosen_id")).select("text", "y", "chosen_key")
+    # A doc_id may repeat with other texts.
+    keyed = map_texts(sample, kernel, "key long", drop=()).where("key = chosen_key")
     return keyed.groupBy("y", "key").agg(F.min("text").alias("text")).select("text", "y")
 
 
-def _sentence_key(text: str) -> int:
-    """The smallest hash of a longer sentence: near copies mostly agree on it."""
-    hashes = [zlib.crc32(s.strip().encode()) for s in SENTENCE.findall(text) if len(s) > 20]
-    return min(hashes, default=zlib.crc32(text.encode()))
+def _copies_key(text: str) -> int:
+    """A hash of the longer sentences with the smallest hashes: near copies mostly agree on it.
+
+    One shared line is not enough; a text of few longer sentences counts as a whole.
+    """
+    hashes = sorted({zlib.crc32(s.strip().encode()) for s in SENTENCE.findall(text) if len(s) > 20})
+    if len(hashes) < KEY_SENTENCES:
+        return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
+    own = b"".join(h.to_bytes(4, "big") for h in hashes[:KEY_SENTENCES])
+    return int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big", signed=True)
 
 
 def _vocabulary(sample: DataFrame) -> list[str]:

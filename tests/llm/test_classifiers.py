@@ -151,3 +151,20 @@ def test_copies_take_one_place_in_a_dictionary(spark):
     other = spark.createDataFrame([(i, "x", f"tale {'abcdefgh'[i % 8]}{'abcdefgh'[i // 8]}") for i in range(64)], "doc_id long, lang string, text string")
     found = langid.fit_languages(tails.unionByName(other)).dictionaries["x"]
     assert found.count(b"same words same") < 400 and found.count(b"tale") > 30
+
+
+def test_only_copies_collapse_in_the_toxic_sample(spark, monkeypatch):
+    """Unrelated documents that share a line stay; copies go before the sample is bounded."""
+    line = min((f"a line that many of them share {i}" for i in range(50_000)), key=lambda s: zlib.crc32(s.encode()))
+
+    def text(i):
+        return f"{line}. " + ". ".join(f"sentence {k} of the document {i} alone" for k in range(6))
+
+    ids = [i for i in range(2_000) if fold(i, 5)][:240]
+    rows = [(i, text(n), n % 2) for n, i in enumerate(ids[:40])]
+    rows += [(i, text("copied"), 1) for i in ids[40:]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity._sample(frame.drop("toxic"), frame.drop("text"), 5, 0).collect()
+    assert {(r.text, r.y) for r in got} == {(t, y) for _, t, y in rows} and len(got) == 41
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 21)
+    assert sum(r.y for r in toxicity._sample(frame.drop("toxic"), frame.drop("text"), 5, 0).collect()) == 21
