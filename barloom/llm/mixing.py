@@ -24,8 +24,8 @@ from .common import store
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BLOCK = 16
-#: A shard is one group of a window: so many words or documents on average, at any size.
-SHARD_WORDS, SHARD_DOCS = 1 << 22, 1 << 16
+#: A shard is one group of a window: so many words or documents at most on average, at any size.
+SHARD_WORDS, SHARD_DOCS = 1 << 20, 1 << 11
 #: A source's one row is repeated so often, and its documents spread over as many join keys.
 SALTS = 32
 #: Larger than any number of blocks of a shard, and prime: multiples of it permute the blocks.
@@ -97,7 +97,8 @@ def mix(
     ``size`` counts the words of ``text`` (NULL: 0), ``taken`` the words that the mix takes,
     repeats counted, and ``spans`` says which: word numbers ``start`` (from 0) to ``stop``
     (exclusive), ``times``; see ``words_of``. No word is taken over ``most`` times. A source misses
-    its target by under one block, and by one word for each shard it has.
+    its target by under one block, and under one more for each of its shards (a shard of W words
+    has ``ceil(W / block)`` blocks, fewer than ``block`` of which are a word short).
 
     Rows with one id and text are exchangeable and lie next to each other; rows with an id of
     NULL are told apart by text. An empty table, or one without words, takes nothing (targets 0).

@@ -156,7 +156,7 @@ t AS (
   SELECT *, CASE WHEN is_full THEN cap::DOUBLE ELSE
     (asked - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())::DOUBLE)
     / (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ())::DOUBLE * w END AS target,
-    greatest(ceil(source_size / 4194304), ceil(n / 65536))::BIGINT AS shards
+    greatest(ceil(source_size / 1048576), ceil(n / 2048))::BIGINT AS shards
   FROM f),
 p AS (
   SELECT d.*, t.source_size, t.target, ('0x' || substr(mark, 1, 12))::BIGINT % t.shards AS shard
