@@ -92,6 +92,99 @@ class GatedCells(NamedTuple):
                 d_h = d_z @ weight.T
 
 
+class RecurrentCells(NamedTuple):
+    """Stacked LSTM cells (Hochreiter & Schmidhuber, 1997) over ``steps`` rows, under a linear head.
+
+    An input row holds ``steps`` times the features and a flag that is 0 for steps before the
+    first row, where the states stay zero. The head reads the last step; gradients go back through
+    all ``steps`` (back-propagation through time, truncated there). The parameters of
+    ``GatedCells`` come first, so with one step the net is that one.
+    """
+
+    cells: int = 2
+    hidden: int = 64
+    steps: int = 5
+    dtype: str = "float32"
+
+    def shapes(self, inputs: int) -> Shapes:
+        """Gates are stacked as input, cell, output; recurrent weights end with the forget gate's."""
+        width = inputs // self.steps - 1
+        out = GatedCells(self.cells, self.hidden).shapes(width)
+        for cell in range(self.cells):
+            out.append((f"cell{cell}.forget.weight", (width, self.hidden)))
+            out.append((f"cell{cell}.forget.bias", (self.hidden,)))
+            out.append((f"cell{cell}.recurrent", (self.hidden, 4 * self.hidden)))
+            width = self.hidden
+        return out
+
+    def start(self, inputs: int, seed: int) -> np.ndarray:
+        size = sum(math.prod(shape) for _, shape in self.shapes(inputs))
+        bound = 1 / math.sqrt(self.hidden)
+        return np.random.default_rng(seed).uniform(-bound, bound, size)
+
+    def _of(self, params, cell):
+        own = 2 * self.cells + 2 + 3 * cell
+        return params[2 * cell], params[2 * cell + 1], *params[own : own + 3]
+
+    def forward(self, params, x):
+        """Outputs and what ``backward`` needs."""
+        x = x.reshape(len(x), self.steps, -1)
+        given, x = x[:, :, -1:], x[:, :, :-1]
+        trace, width = [], self.hidden
+        for cell in range(self.cells):
+            weight, bias, f_weight, f_bias, recurrent = self._of(params, cell)
+            z = x @ np.hstack([weight, f_weight]) + np.concatenate([bias, f_bias])
+            h = c = np.zeros((len(x), width), z.dtype)
+            hs, steps = np.empty((len(x), self.steps, width), z.dtype), []
+            for t in range(self.steps):
+                before, z_t = (h, c), z[:, t] + h @ recurrent
+                i, o = _sigmoid(z_t[:, :width]), _sigmoid(z_t[:, 2 * width : 3 * width])
+                g, f = np.tanh(z_t[:, width : 2 * width]), _sigmoid(z_t[:, 3 * width :])
+                c = f * c + i * g
+                top = np.tanh(c)
+                h, c = o * top * given[:, t], c * given[:, t]
+                hs[:, t] = h
+                steps.append((*before, i, g, o, f, top))
+            trace.append((x, steps))
+            x = hs
+        head, head_bias = params[2 * self.cells : 2 * self.cells + 2]
+        return (x[:, -1] @ head + head_bias)[:, 0], (trace, x[:, -1], given)
+
+    def backward(self, params, cache, d_out, grads) -> None:
+        """Gradient of the loss into ``grads``, given its derivative by the outputs."""
+        (trace, top, given), width = cache, self.hidden
+        n_gated = 2 * self.cells
+        grads[n_gated][:] = top.T @ d_out[:, None]
+        grads[n_gated + 1][:] = d_out.sum()
+        d_hs = np.zeros((len(top), self.steps, width), top.dtype)
+        d_hs[:, -1] = d_out[:, None] @ params[n_gated].T
+        for cell in reversed(range(self.cells)):
+            x, steps = trace[cell]
+            weight, _, f_weight, _, recurrent = self._of(params, cell)
+            g_weight, g_bias, gf_weight, gf_bias, g_recurrent = self._of(grads, cell)
+            g_recurrent[:] = 0
+            d_z = np.empty((len(x), self.steps, 4 * width), top.dtype)
+            d_h = d_c = np.zeros_like(top)
+            for t in reversed(range(self.steps)):
+                h, c, i, g, o, f, tanh_c = steps[t]
+                d_h = (d_hs[:, t] + d_h) * given[:, t]
+                d_c = d_c * given[:, t] + d_h * o * (1 - tanh_c * tanh_c)
+                d = d_z[:, t]
+                d[:, :width] = d_c * g * i * (1 - i)
+                d[:, width : 2 * width] = d_c * i * (1 - g * g)
+                d[:, 2 * width : 3 * width] = d_h * tanh_c * o * (1 - o)
+                d[:, 3 * width :] = d_c * c * f * (1 - f)
+                g_recurrent += h.T @ d
+                d_h, d_c = d @ recurrent.T, d_c * f
+            flat, d_flat = x.reshape(-1, x.shape[2]), d_z.reshape(-1, 4 * width)
+            both = flat.T @ d_flat
+            g_weight[:], gf_weight[:] = both[:, : 3 * width], both[:, 3 * width :]
+            sums = d_flat.sum(axis=0)
+            g_bias[:], gf_bias[:] = sums[: 3 * width], sums[3 * width :]
+            if cell:
+                d_hs = d_z @ np.hstack([weight, f_weight]).T
+
+
 class FactorPairs(NamedTuple):
     """Factorization machine (Rendle, 2010): linear terms plus factored products of pairs."""
 

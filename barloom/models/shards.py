@@ -5,12 +5,15 @@ size, and every symbol has the same schedule, so a model depends on its own rows
 
 A net trains in rounds of ``sync_epochs``: each shard trains from the symbol's common state
 and the states are averaged, weighted by rows, between rounds (local SGD; McMahan et al.,
-2017). Rows are placed once and kept; only states move between rounds, each a checkpointed
-table. Choose ``shards`` so that a shard of the largest symbol fits a task.
+2017). Every round deals the rows anew, by a hash that holds the round, so that no row stays
+with the same others. Spark sorts a task's rows by symbol, shard and hash, a shard's state first;
+the task works through them in blocks of at most ``BLOCK_ROWS`` rows, ``sync_epochs`` epochs each,
+and carries the state from block to block. So its memory is a block, however many rows a symbol has,
+and the only table between rounds is that of the states.
 
 A factorization machine trains on all rows at once. Its squared error is a quadratic form in
 the products of its inputs, so the sums of these products over the rows, added up by Spark in
-one pass, hold all that training needs: the model is the same for any number of shards, and
+one pass, hold all that training needs: the model is the same for any number of tasks, and
 a step costs the same however many rows there are.
 
 The optimiser is Adam (Kingma & Ba, 2015) on the squared error.
@@ -20,11 +23,12 @@ from __future__ import annotations
 
 import math
 import sys
-from functools import partial
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -32,14 +36,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunks import join_symbols
+from ..operators.sequence import sequence_features
 from ..schema import KEY, TIME, cut_lineage, epoch_seconds, staged
-from .kernels import ADAM_DECAY, ADAM_EPS, FactorPairs, GatedCells, products, train_on_moments, views
+from .blocks import lists, meet, numbers, pack
+from .kernels import ADAM_DECAY, ADAM_EPS, FactorPairs, GatedCells, RecurrentCells, products, train_on_moments, views
 
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARDS = 4
 SYNC_EPOCHS = 50
+#: Rows that a task trains on at a time: its memory. A shard of fewer is one block.
+BLOCK_ROWS = 8192
+#: Rows that meet a symbol's parameters or scales at a time.
+SCORE_ROWS = 2048
 # Names under which the parameter table keeps means and deviations, the label's last.
 SCALES = ("scale.mean", "scale.sd")
 
@@ -111,74 +121,176 @@ def fit_in_shards(
     """Fit ``kernel`` per symbol on its ``is_train`` rows and predict the others.
 
     Features (and the label, with ``scale_label``) are standardised by the symbol's
-    train rows; a symbol without any is left out. ``history`` is per row, not per
-    batch; its accuracy compares both sides of ``threshold`` in label units.
+    train rows; a symbol without any is left out. A kernel with ``steps`` sees each row with the
+    rows before it (``sequence_features``), test rows too. ``history`` is per row, not per
+    batch; its accuracy compares both sides of ``threshold`` in label units. A NULL or NaN
+    feature is an error; train rows without a label are left out.
     """
-    n_inputs = len(features)
-    data, scales, symbols = _standardised(df, features, label, scale_label, shards, key, time)
-    group = [key, "_shard"]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    scales = _scales(df, features, label, scale_label, key)
+    symbols = max(1, scales.count())
     # Shards are small in bytes but long in compute: a fixed number of partitions keeps AQE
     # from merging them into few tasks. Several per core against collisions, but no more than
     # can be filled.
-    cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(4 * symbols * shards, max(4 * cores, symbols * shards // 64)))
-    inputs = [f"_x{i}" for i in range(n_inputs)]
-    rows = data.filter("is_train").select(*group, "_sec", *inputs, "_y", "_mean", "_sd")
-    # Placed once; kept, so that a round's co-group moves only the states.
-    rows = rows.repartition(tasks, *group).persist()
-
-    def train(pdf, state, first_epoch, n_epochs) -> pd.DataFrame:
-        pdf = pdf.sort_values("_sec")
-        x, y = pdf[inputs].to_numpy(), pdf["_y"].to_numpy()
-        if state is None:
-            theta = kernel.start(n_inputs, seed)
-            values, step = np.concatenate([theta, np.zeros(2 * len(theta))]), 0
-        else:
-            values, step = state["_state"], int(state["_step"])
-        draw = [seed, first_epoch, int(pdf["_shard"].iloc[0])]
-        mean, sd = float(pdf["_mean"].iloc[0]), float(pdf["_sd"].iloc[0])
-        cut = (threshold - mean) / sd
-        values, step, squared, hits = train_shard(
-            kernel, x, y, values, step, lr, batch, n_epochs, draw, cut
-        )
-        return pd.DataFrame(
-            {
-                key: [pdf[key].iloc[0]],
-                "_n": [len(y)],
-                "_step": [step],
-                "_state": [values.astype("float64")],
-                "_loss": [[s * sd * sd for s in squared]],
-                "_hits": [hits],
-            }
-        )
-
-    schema = (
-        f"{key} string, _n long, _step long, _state array<double>, "
-        "_loss array<double>, _hits array<long>"
-    )
-    empty = [key, "_n", "_step", "_state", "_loss", "_hits"]
-    state, logs = None, []
+    inputs = staged(_inputs(df, features, kernel, label, key, time))
+    train = inputs.filter(F.col("is_train") & F.col("_y").isNotNull())
+    n_inputs = _width(features, kernel)
+    kinds = f"{key} string, _n long, _step long, _state array<double>, _loss array<double>, _hits array<long>"
+    state, logs = scales.withColumns({"_state": F.lit(None).cast("array<double>"), "_step": F.lit(0)}), []
     for first in range(0, epochs, sync_epochs):
         n_epochs = min(sync_epochs, epochs - first)
-        shard = partial(train, first_epoch=first, n_epochs=n_epochs)
-        if state is None:
-            trained = rows.groupBy(*group).applyInPandas(_alone(shard), schema)
-        else:
-            trained = (
-                rows.groupBy(*group)
-                .cogroup(_for_shards(state, shards).repartition(tasks, *group).groupBy(*group))
-                .applyInPandas(_with_state(shard, empty), schema)
-            )
-        trained = cut_lineage(trained)
+        none = F.lit(None)
+        rows = train.select(
+            key,
+            F.pmod(F.xxhash64(F.lit(first), key, "_sec"), F.lit(shards)).cast("int").alias("_shard"),
+            F.lit(1).alias("_row"),
+            F.xxhash64(F.lit(~first), key, "_sec").alias("_draw"),
+            F.concat("_x", F.array("_y")).alias("_values"),
+            none.cast("array<double>").alias("_scale"),
+            none.cast("long").alias("_step"),
+        )
+        heads = _for_shards(state, shards).select(
+            key,
+            "_shard",
+            F.lit(0).alias("_row"),
+            none.cast("long").alias("_draw"),
+            F.col("_state").alias("_values"),
+            F.concat("_means", "_sds").alias("_scale"),
+            F.col("_step").cast("long"),
+        )
+        stream = rows.unionByName(heads).repartition(tasks, key, "_shard")
+        stream = stream.sortWithinPartitions(key, "_shard", "_row", "_draw")
+        run = _train_stream(kernel, n_inputs, threshold, lr, batch, n_epochs, seed, first, key)
+        trained = cut_lineage(stream.mapInArrow(run, kinds))
         logs.append(_log(trained, first, key))
-        state = cut_lineage(_averaged(trained, key))
-    rows.unpersist()
+        state = join_symbols(_averaged(trained, key), scales, [key], [key])
 
     history = logs[0]
     for log in logs[1:]:
         history = history.unionByName(log)
-    parameters = cut_lineage(_parameters(state, scales, kernel.shapes(n_inputs), key))
-    return ShardFit(_test_scores(df, features, label, parameters, kernel, key, time), history, parameters)
+    parameters = cut_lineage(_parameters(state, kernel.shapes(n_inputs), key))
+    test = inputs.filter(~F.col("is_train"))
+    return ShardFit(_scored(parameters, test, len(features), n_inputs, kernel, key, time), history, parameters)
+
+
+def _width(features: list[str], kernel) -> int:
+    steps = getattr(kernel, "steps", None)
+    return steps * (len(features) + 1) if steps else len(features)
+
+
+def _inputs(df: DataFrame, features: list[str], kernel, label: str | None, key: str, time: str) -> DataFrame:
+    """``key, time, is_train, _sec, _x, _y``: what the kernel sees of a row, not standardised.
+
+    For a kernel with ``steps``: features and flag of each step, oldest first, missing steps zero.
+    """
+    steps = getattr(kernel, "steps", None)
+    if steps is None:
+        x = F.array(*[F.col(c).cast("double") for c in features])
+    else:
+        df = sequence_features(df, features, steps, "_sequence", key, time)
+        one = lambda s: F.array(*[s[c].cast("double") for c in features], F.lit(1.0))
+        absent = (F.lit(steps) - F.size("_sequence")) * (len(features) + 1)
+        x = F.concat(F.array_repeat(F.lit(0.0), absent), F.flatten(F.transform("_sequence", one)))
+    y = F.col(label).cast("double") if label else F.lit(None).cast("double")
+    return df.select(
+        key,
+        F.col(time).cast("timestamp").alias(time),
+        (F.col("is_train") if "is_train" in df.columns else F.lit(False)).alias("is_train"),
+        epoch_seconds(time).alias("_sec"),
+        x.alias("_x"),
+        y.alias("_y"),
+    )
+
+
+def _standard(x: np.ndarray, mean: np.ndarray, sd: np.ndarray, kernel) -> np.ndarray:
+    """Inputs on unit scale; flags of steps stay."""
+    steps = getattr(kernel, "steps", None)
+    if steps is None:
+        return (x - mean) / sd
+    return (x - np.tile(np.append(mean, 0.0), steps)) / np.tile(np.append(sd, 1.0), steps)
+
+
+class _Shard:
+    """One shard of one symbol while its rows stream by."""
+
+    def __init__(self, symbol, number: int, values, scale: np.ndarray, step: int, kernel, n_inputs: int, seed: int):
+        self.symbol, self.number, self.step = symbol, number, step
+        half = len(scale) // 2
+        self.mean, self.sd = scale[:half], scale[half:]
+        if values is None:
+            theta = kernel.start(n_inputs, seed)
+            values = np.concatenate([theta, np.zeros(2 * len(theta))])
+        self.state, self.held, self.n_held = values, [], 0
+        self.n, self.blocks, self.squared, self.hits = 0, 0, 0.0, 0
+
+
+def _train_stream(kernel, n_inputs, threshold, lr, batch, epochs, seed, first, key):
+    """Rows of whole shards, sorted, each shard's state before its rows; a row out for each shard."""
+
+    def train(shard: _Shard) -> None:
+        rows = np.concatenate(shard.held)
+        x = _standard(rows[:, :-1], shard.mean[:-1], shard.sd[:-1], kernel)
+        y = (rows[:, -1] - shard.mean[-1]) / shard.sd[-1]
+        cut = (threshold - shard.mean[-1]) / shard.sd[-1]
+        draw = [seed, first, shard.number, shard.blocks]
+        shard.state, shard.step, squared, hits = train_shard(
+            kernel, x, y, shard.state, shard.step, lr, batch, epochs, draw, cut
+        )
+        shard.squared = shard.squared + np.array(squared) * shard.sd[-1] ** 2
+        shard.hits = shard.hits + np.array(hits)
+        shard.n, shard.blocks, shard.held, shard.n_held = shard.n + len(rows), shard.blocks + 1, [], 0
+
+    def done(shard: _Shard | None) -> Iterator[pa.RecordBatch]:
+        if shard is not None and shard.n_held:
+            train(shard)
+        if shard is not None and shard.n:  # a shard no row fell into has nothing to train
+            columns = [
+                pa.array([shard.symbol], pa.string()),
+                pa.array([shard.n]),
+                pa.array([shard.step]),
+                pa.array([shard.state.astype("float64")], pa.list_(pa.float64())),
+                pa.array([shard.squared.tolist()], pa.list_(pa.float64())),
+                pa.array([shard.hits.tolist()], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "_n", "_step", "_state", "_loss", "_hits"])
+
+    def feed(shard: _Shard | None, rows: pa.RecordBatch, start: int, stop: int) -> None:
+        for at in {start, stop - 1} if start < stop else ():
+            if shard is None or (rows.column(key)[at].as_py(), rows.column("_shard")[at].as_py()) != (shard.symbol, shard.number):
+                raise ValueError("rows without the state of their shard")
+        while start < stop:
+            end = min(stop, start + BLOCK_ROWS - shard.n_held)
+            shard.held.append(numbers(rows.column("_values").slice(start, end - start), n_inputs + 1, "a train row"))
+            shard.n_held += end - start
+            start = end
+            if shard.n_held == BLOCK_ROWS:
+                train(shard)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
+        for rows in batches:
+            values = rows.column("_values")
+            heads = np.flatnonzero(rows.column("_row").to_numpy() == 0).tolist()
+            if not heads or heads[0]:
+                feed(shard, rows, 0, heads[0] if heads else rows.num_rows)
+            for head, stop in zip(heads, [*heads[1:], rows.num_rows]):
+                yield from done(shard)
+                own = values.slice(head, 1)
+                shard = _Shard(
+                    rows.column(key)[head].as_py(),
+                    rows.column("_shard")[head].as_py(),
+                    own.flatten().to_numpy() if own.is_valid()[0].as_py() else None,
+                    np.array(rows.column("_scale")[head].as_py()),
+                    rows.column("_step")[head].as_py(),
+                    kernel,
+                    n_inputs,
+                    seed,
+                )
+                feed(shard, rows, head + 1, stop)
+        yield from done(shard)
+
+    return run
 
 
 def fit_gated_net(
@@ -192,12 +304,36 @@ def fit_gated_net(
     epochs: int = 200,
     **options,
 ) -> ShardFit:
-    """A small gated recurrent net per symbol; ``options`` as in ``fit_in_shards``."""
+    """A small gated recurrent net per symbol; ``options`` as in ``fit_in_shards``.
+
+    It sees one row at a time; ``fit_recurrent_net`` sees the rows before it too.
+    """
     return fit_in_shards(
         df, features, label, GatedCells(cells, hidden), lr, batch, epochs, **options
     )
 
 
+def fit_recurrent_net(
+    df: DataFrame,
+    features: list[str],
+    label: str = "label",
+    steps: int = 5,
+    cells: int = 2,
+    hidden: int = 64,
+    lr: float = 1e-3,
+    batch: int | None = 64,
+    epochs: int = 200,
+    **options,
+) -> ShardFit:
+    """A recurrent net per symbol over each row and the ``steps - 1`` rows before it.
+
+    ``options`` as in ``fit_in_shards``; with one step it is the net of ``fit_gated_net``.
+    """
+    return fit_in_shards(
+        df, features, label, RecurrentCells(cells, hidden, steps), lr, batch, epochs, **options
+    )
+
+
 def fit_factorization(
     df: DataFrame,
     features: list[str],
@@ -214,27 +350,33 @@ def fit_factorization(
     """A factorization machine per symbol by full-batch steps, without a job per step.
 
     For universes of thousands of symbols, where one Spark ML fit per symbol would keep
-    the driver busy with hundreds of small jobs each. ``shards`` spreads the sums and changes
-    nothing else. The accuracy of the history is NULL: sums do not tell single outputs.
+    the driver busy with hundreds of small jobs each. ``shards`` changes nothing: rows are summed
+    where they lie. The accuracy of the history is NULL: sums do not tell single outputs.
     """
     kernel = FactorPairs(factors)
-    data, scales, _ = _standardised(df, features, label, scale_label, shards, key, time)
-    inputs = [f"_x{i}" for i in range(len(features))]
-    rows = data.filter("is_train").select(key, "_shard", "_sec", *inputs, "_y", "_sd")
-
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_sec")
-        z = np.column_stack([products(pdf[inputs].to_numpy()), pdf["_y"].to_numpy()])
-        return pd.DataFrame(
-            {
-                key: [pdf[key].iloc[0]],
-                "_n": [len(pdf)],
-                "_sd": [float(pdf["_sd"].iloc[0])],
-                "_moments": [(z.T @ z).ravel()],
-            }
-        )
+    scales = _scales(df, features, label, scale_label, key)
+    inputs = staged(_inputs(df, features, kernel, label, key, time))
+    n_inputs = len(features)
+    scale = scales.select(key, F.concat("_means", "_sds").alias("_scale"))
+    rows = pack(inputs.filter(F.col("is_train") & F.col("_y").isNotNull()), [F.concat("_x", F.array("_y")).alias("v")], [key, "_sec"], key, SCORE_ROWS)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: dict = {}
+            own = zip(batch.column(key).to_pylist(), lists(batch.column("_rows")), lists(batch.column("_scale")))
+            for symbol, block, scale in own:
+                z, scale = numbers(block.field("v"), n_inputs + 1, "a train row"), scale.to_numpy()
+                z = (z - scale[: n_inputs + 1]) / scale[n_inputs + 1 :]
+                z = np.column_stack([products(z[:, :-1]), z[:, -1]])
+                n, _, total = held.get(symbol, (0, 0.0, 0.0))
+                held[symbol] = n + len(z), scale[-1], total + (z.T @ z).ravel()
+            columns = [pa.array([h[i] for h in held.values()]) for i in (0, 1)]
+            columns.append(pa.array([h[2] for h in held.values()], pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.string()), *columns], names=[key, "_n", "_sd", "_moments"]
+            )
 
-    part = rows.groupBy(key, "_shard").applyInPandas(
+    part = meet(rows, scale, key).select(key, "_rows", "_scale").mapInArrow(
         sums, f"{key} string, _n long, _sd double, _moments array<double>"
     )
     whole = part.groupBy(key).agg(
@@ -246,7 +388,7 @@ def fit_factorization(
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         n, sd = int(pdf["_n"].iloc[0]), float(pdf["_sd"].iloc[0])
         theta, losses = train_on_moments(
-            kernel, np.asarray(pdf["_moments"].iloc[0]), n, len(inputs), lr, epochs, seed
+            kernel, np.asarray(pdf["_moments"].iloc[0]), n, n_inputs, lr, epochs, seed
         )
         return pd.DataFrame(
             {key: [pdf[key].iloc[0]], "_state": [theta], "_loss": [[x * sd * sd for x in losses]]}
@@ -265,8 +407,9 @@ def fit_factorization(
         F.sqrt("loss").alias("rmse"),
         F.lit(None).cast("double").alias("accuracy"),
     )
-    parameters = cut_lineage(_parameters(state, scales, kernel.shapes(len(inputs)), key))
-    return ShardFit(_test_scores(df, features, label, parameters, kernel, key, time), history, parameters)
+    parameters = cut_lineage(_parameters(join_symbols(state, scales, [key], [key]), kernel.shapes(n_inputs), key))
+    test = inputs.filter(~F.col("is_train"))
+    return ShardFit(_scored(parameters, test, n_inputs, n_inputs, kernel, key, time), history, parameters)
 
 
 def score_net(
@@ -275,7 +418,7 @@ def score_net(
     features: list[str],
     kernel,
     label: str | None = None,
-    spread: int = 32,
+    only: str | None = None,
     key: str = KEY,
     time: str = TIME,
 ) -> DataFrame:
@@ -283,92 +426,55 @@ def score_net(
 
     ``parameters`` is that of ``ShardFit`` (``Stock, name, shape, values``) and holds the scale of
     features and label; ``features`` and ``kernel`` are those of the fit; ``actual`` is NULL
-    without ``label``. Rows of a symbol are spread over ``spread`` groups. Symbols without
-    parameters are left out.
+    without ``label``. ``only`` is a condition (SQL) on the rows to score: the others still come
+    before them in sequences. Rows travel in blocks of any tasks, each with its symbol's parameters.
+    Symbols without parameters are left out.
     """
-    n_inputs = len(features)
+    rows = df
+    if only is not None:
+        rows = df.withColumn("is_train", ~F.coalesce(F.expr(only), F.lit(False)))
+    rows = staged(_inputs(rows, features, kernel, label, key, time))
+    if only is not None:
+        rows = rows.filter(~F.col("is_train"))
+    return _scored(parameters, rows, len(features), _width(features, kernel), kernel, key, time)
+
+
+def _scored(parameters, inputs, n_features: int, n_inputs: int, kernel, key: str, time: str) -> DataFrame:
+    """Predictions for a stored table of inputs."""
+    packed = pack(inputs, [F.col(time).alias("time"), F.col("_x").alias("x"), F.col("_y").alias("y")], [key, "_sec"], key, SCORE_ROWS)
+    by_symbol = parameters.groupBy(key).agg(F.collect_list(F.struct("name", "values")).alias("_named"))
     shapes = kernel.shapes(n_inputs)
-    inputs = [f"_x{i}" for i in range(n_inputs)]
-    actual = F.col(label).cast("double") if label else F.lit(None).cast("double")
-    rows = df.select(
-        key,
-        F.col(time).cast("timestamp").alias(time),
-        *[F.col(c).cast("double").alias(x) for c, x in zip(features, inputs)],
-        actual.alias("_actual"),
-        F.pmod(F.xxhash64(key, epoch_seconds(time)), F.lit(spread)).cast("int").alias("_shard"),
-    )
-    state = parameters.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("name", "values"))).alias("_by_name")
-    )
 
-    def score(pdf: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty or states.empty:
-            return pd.DataFrame(columns=[key, time, "actual", "predicted"])
-        by_name = dict(states["_by_name"].iloc[0])
-        mean, sd = (np.asarray(by_name[name], dtype=float) for name in SCALES)
-        params = [np.asarray(by_name[name]).reshape(shape) for name, shape in shapes]
-        out, _ = kernel.forward(params, (pdf[inputs].to_numpy() - mean[:-1]) / sd[:-1])
-        return pd.DataFrame(
-            {
-                key: pdf[key],
-                time: pdf[time],
-                "actual": pdf["_actual"],
-                "predicted": out * sd[-1] + mean[-1],
-            }
-        )
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(batch.column(key).to_pylist(), lists(batch.column("_rows")), lists(batch.column("_named")))
+            for symbol, rows, named in own:
+                by_name = dict(zip(named.field("name").to_pylist(), lists(named.field("values"))))
+                mean, sd = (by_name[name].to_numpy() for name in SCALES)
+                params = [by_name[name].to_numpy().reshape(shape) for name, shape in shapes]
+                x = _standard(numbers(rows.field("x"), n_inputs, "a feature"), mean[:-1], sd[:-1], kernel)
+                out, _ = kernel.forward(params, x)
+                columns = [pa.array([symbol] * len(x), pa.string()), rows.field("time"), rows.field("y")]
+                columns.append(pa.array(out * sd[-1] + mean[-1]))
+                yield pa.RecordBatch.from_arrays(columns, names=[key, time, "actual", "predicted"])
 
-    group = [key, "_shard"]
-    states = _for_shards(state, spread).groupBy(*group)
     schema = f"{key} string, {time} timestamp, actual double, predicted double"
-    return rows.groupBy(*group).cogroup(states).applyInPandas(score, schema)
-
-
-def _test_scores(df, features, label, parameters, kernel, key, time) -> DataFrame:
-    test = df.filter(~F.col("is_train"))
-    return score_net(parameters, test, features, kernel, label, key=key, time=time)
+    return meet(packed, by_symbol, key).select(key, "_rows", "_named").mapInArrow(score, schema)
 
 
-def _alone(shard):
-    return lambda pdf: shard(pdf, None)
-
-
-def _with_state(shard, columns):
-    """A shard with its symbol's state; a shard no row fell into has nothing to train."""
-    return lambda pdf, states: (
-        pd.DataFrame(columns=columns) if pdf.empty else shard(pdf, states.iloc[0])
-    )
-
-
-def _standardised(df, features, label, scale_label, shards, key, time):
-    """A stored table of standardised train rows, the scales by symbol, the number of symbols."""
-    train = F.col("is_train")
+def _scales(df: DataFrame, features: list[str], label: str, scale_label: bool, key: str) -> DataFrame:
+    """``key, _means, _sds`` of the features and the label, last, over a symbol's train rows."""
     aggs = []
     for i, c in enumerate([*features, label]):
         value = F.col(c).cast("double")
         aggs += [F.avg(value).alias(f"_m{i}"), F.stddev_pop(value).alias(f"_s{i}")]
     n = len(features)
-    stats = df.filter(train).groupBy(key).agg(*aggs)
+    stats = df.filter("is_train").groupBy(key).agg(*aggs)
     sd = [F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i in range(n + 1)]
     mean = [F.coalesce(F.col(f"_m{i}"), F.lit(0.0)) for i in range(n + 1)]
     if not scale_label:
         mean[n], sd[n] = F.lit(0.0), F.lit(1.0)
-    scales = cut_lineage(stats.select(key, F.array(*mean).alias("_means"), F.array(*sd).alias("_sds")))
-    scaled = [
-        ((F.col(c).cast("double") - F.col("_means")[i]) / F.col("_sds")[i])
-        for i, c in enumerate([*features, label])
-    ]
-    rows = join_symbols(df.filter(train), scales, [key], [key, time])
-    data = rows.select(
-        key,
-        train.alias("is_train"),
-        epoch_seconds(time).alias("_sec"),
-        *[x.alias(f"_x{i}") for i, x in enumerate(scaled[:-1])],
-        scaled[-1].alias("_y"),
-        F.col("_means")[n].alias("_mean"),
-        F.col("_sds")[n].alias("_sd"),
-        F.pmod(F.xxhash64(key, epoch_seconds(time)), F.lit(shards)).cast("int").alias("_shard"),
-    )
-    return staged(data), scales, max(1, scales.count())
+    return cut_lineage(stats.select(key, F.array(*mean).alias("_means"), F.array(*sd).alias("_sds")))
 
 
 def _for_shards(state: DataFrame, count: int) -> DataFrame:
@@ -398,7 +504,7 @@ def _log(trained: DataFrame, first: int, key: str) -> DataFrame:
     )
 
 
-def _parameters(state: DataFrame, scales: DataFrame, shapes, key: str) -> DataFrame:
+def _parameters(state: DataFrame, shapes, key: str) -> DataFrame:
     """``Stock, name, shape, values``: the net's parameters, and the scale of its inputs."""
     cells, start = [], 1
     for name, shape in shapes:
@@ -415,5 +521,4 @@ def _parameters(state: DataFrame, scales: DataFrame, shapes, key: str) -> DataFr
         cells.append(
             F.struct(F.lit(name).alias("name"), F.array(F.size(column)).alias("shape"), F.col(column).alias("values"))
         )
-    both = state.select(key, "_state").join(scales, key)
-    return both.select(key, F.explode(F.array(*cells)).alias("_p")).select(key, "_p.*")
+    return state.select(key, F.explode(F.array(*cells)).alias("_p")).select(key, "_p.*")

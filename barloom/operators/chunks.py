@@ -117,11 +117,16 @@ def join_symbols(
 
     The rows of a symbol are spread over ``SALTS`` keys by a hash of the ``spread`` columns and
     the symbol's one row is repeated for each, so beyond the broadcast threshold no shuffle
-    gathers a symbol in one task.
+    gathers a symbol in one task. Rows without a symbol are a group of their own: NULL meets NULL.
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    return salted.join(per_symbol.withColumn(SALT, salts), [*on, SALT], how).drop(SALT)
+    theirs = [f"_of_{c}" for c in [*on, SALT]]
+    one_row = per_symbol.withColumn(SALT, salts).withColumnsRenamed(dict(zip([*on, SALT], theirs)))
+    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in zip([*on, SALT], theirs)]
+    joined = salted.join(one_row, same, how).drop(SALT, *theirs)
+    rest = [c for c in joined.columns if c not in on]
+    return joined.select(*on, *rest)
 
 
 def attach(

@@ -151,7 +151,9 @@ def density(
     )
     step = (F.col("hi") - F.col("lo")) / (points - 1)
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
-    rows = counts.filter("hi > lo").join(width, [key, "column"])
+    rows = counts.filter("hi > lo")
+    same = rows[key].eqNullSafe(width[key]) & (rows["column"] == width["column"])
+    rows = rows.join(width, same).drop(width[key], width["column"])
     rows = rows.select(key, "column", "n", "h", "total", centre.alias("c"), "lo", step.alias("s"), grid)
     x = F.col("lo") + F.col("i") * F.col("s")
     z = (x - F.col("c")) / F.col("h")

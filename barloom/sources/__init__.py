@@ -1,2 +1,2 @@
-from .bars import normalise, read_bars, write_bars  # noqa: F401
-from .keyed import lookup, upsert_bars  # noqa: F401
+from .bars import file_headers, normalise, read_bars, write_bars  # noqa: F401
+from .keyed import lookup, put_bars, upsert_bars  # noqa: F401

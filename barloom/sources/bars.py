@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import BAR_SCHEMA, CSV_COLUMNS, CSV_DATE_FORMAT, KEY, PRICES, TIME
+from ..schema import BAR_SCHEMA, CSV_COLUMNS, CSV_DATE_FORMAT, KEY, PRICES, TIME, staged
 
 CORRUPT, FILE_SYMBOL = "_corrupt", "_file_symbol"
 DOUBLES = [*PRICES, "Volume"]
@@ -27,13 +27,17 @@ JSON_SCHEMA = _text(["Stock", "Date", *[c for c in DOUBLES if c != "AdjClose"],
 
 
 def _path_part(column: str) -> Column:
-    """Paths in file metadata are URI-encoded, except that a plus stands for itself."""
-    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+    """Paths in file metadata are URI-encoded, except that a plus stands for itself.
+
+    Decoding takes long, so paths without an encoded character are left as they are.
+    """
+    path = F.col(column)
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
-def _symbol_from_file() -> Column:
-    """``BRK.B.csv`` gives ``BRK.B``."""
-    name = _path_part("_metadata.file_name")
+def _symbol_from_file(path: str = "_metadata.file_path") -> Column:
+    """``BRK.B.csv`` gives ``BRK.B``, as a file or as the folder that Spark writes for one."""
+    name = F.regexp_extract(_path_part(path), r"([^/]+?)(?:/part-[^/]*)?$", 1)
     return F.regexp_replace(name, r"\.(csv|json|jsonl)(\.gz)?$", "")
 
 
@@ -68,37 +72,49 @@ def normalise(df: DataFrame, date_format: str | None = CSV_DATE_FORMAT) -> DataF
     )
 
 
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``_file, _file_symbol, _header`` of every text file: its path as Spark gives it, the symbol
+    that its name says, and the line that names the date and the open.
+
+    A stored table with a row a file, found by a pass over the lines inside the JVM; only the
+    header lines leave a task. A file without a header is not listed.
+    """
+    is_header = F.col("value").contains(TIME) & F.col("value").contains("Open")
+    lines = spark.read.text(path).filter(is_header)
+    first = F.min_by("value", F.col("_metadata.file_block_start")).alias("_header")
+    found = lines.groupBy(F.col("_metadata.file_path").alias("_file")).agg(first)
+    return staged(found.select("_file", _symbol_from_file("_file").alias(FILE_SYMBOL), "_header"))
+
+
 def _csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV files as text columns named by their own header, whatever its order.
 
-    Headers, one row a file, come from a pass over the lines; files with the same header are
-    read together. A header that lacks a column is an error, as is a file without one.
+    Where all files have one header, as those of one source do, only that header comes to the
+    driver. Otherwise files with the same header are read together, by their names. A header that
+    lacks a column is an error, as is a file without one.
     """
-    lines = spark.read.text(path)
-    is_header = F.col("value").contains(TIME) & F.col("value").contains("Open")
-    found = (
-        lines.select(_path_part("_metadata.file_path").alias("file"), "value")
-        .groupBy("file")
-        .agg(F.min(F.when(is_header, F.col("value"))).alias("header"))
-        .collect()
-    )
-    by_header: dict[str, list[str]] = {}
-    for row in found:
-        by_header.setdefault(row["header"], []).append(row["file"])
+    headers = file_headers(spark, path)
+    kinds = [r["_header"] for r in headers.select("_header").distinct().orderBy("_header").collect()]
     parts = []
-    for header, files in sorted(by_header.items(), key=lambda x: str(x[0])):
-        names = next(csv.reader([(header or "").lstrip("\ufeff")]), [])
+    for header in kinds:
+        own = headers.filter(F.col("_header") == header).select(_path_part("_file").alias("file"))
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
         lacking = [c for c in CSV_COLUMNS if c != "Adj Close" and c not in names]
         if lacking or not any(c in ADJUSTED_NAMES for c in names):
-            raise ValueError(f"{files[0]}: the header lacks {lacking or 'the adjusted close'}")
+            raise ValueError(f"{own.first()['file']}: the header lacks {lacking or 'the adjusted close'}")
         reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
         reader = reader.option("header", True).option("enforceSchema", False)
-        if len(by_header) > 1 and isinstance(path, str) and any("=" in f for f in files):
-            reader = reader.option("basePath", path)
-        given = path if len(by_header) == 1 else files
+        given = path
+        if len(kinds) > 1:
+            given = [r["file"] for r in own.collect()]
+            if isinstance(path, str) and any("=" in f for f in given):
+                reader = reader.option("basePath", path)
         parts.append(reader.schema(_text(names)).csv(given))
     if not parts:
-        return spark.createDataFrame([], _text(["AdjClose", *CSV_COLUMNS[:-1]]))
+        lines = spark.read.text(path).select("_metadata.file_path").first()
+        if lines is not None:
+            raise ValueError(f"{lines['file_path']}: the header lacks {CSV_COLUMNS}")
+        return spark.createDataFrame([], _text(["AdjClose", *CSV_COLUMNS[:-1], FILE_SYMBOL]))
     adjusted = [c for c in ADJUSTED_NAMES if any(c in p.columns for p in parts)]
     same = [*CSV_COLUMNS[:-1], *adjusted, CORRUPT]
     extra = [c for c in parts[0].columns if c == KEY]
