@@ -22,11 +22,13 @@ SEED = 5
 #: Vectors of a leaf, about; the documented sample that split points are fitted on (every
 #: vector is indexed); the fewest sample vectors of a node that is split.
 LEAF = 256
-SAMPLE = 8_192
+SAMPLE = 32_768
 SAMPLE_LEAF = 8
 #: Half the width of the overlap, in standard deviations of the difference that a projection
 #: shows of two vectors at the least cosine.
 OVERLAP = 1.0
+#: A node is not split if more of its sample than this lies within the overlap of the cut.
+INSIDE = 0.5
 #: Vectors of a leaf that are compared in one task; larger leaves are cut into blocks, and
 #: every pair of blocks is compared.
 BLOCK = 1_500
@@ -60,6 +62,12 @@ class Forest:
         return tuple(np.concatenate(c) for c in zip(*out))
 
 
+    def cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, cell)``: leaves as numbers that differ between trees and order by tree."""
+        row, tree, leaf = self.leaves(rows)
+        return row, (tree.astype(np.int64) << 40) | leaf
+
+
 def grow(sample: np.ndarray, depth: int, min_cosine: float, trees: int, seed: int) -> Forest:
     """Random directions, one for each level of a tree, cut at the sample's medians.
 
@@ -83,7 +91,10 @@ def grow(sample: np.ndarray, depth: int, min_cosine: float, trees: int, seed: in
                 if len(members) < 2 * SAMPLE_LEAF:
                     continue
                 value = sample[members] @ directions[tree, level]
-                own[node] = cut = float(np.median(value))
+                cut = float(np.median(value))
+                if (np.abs(value - cut) <= margin).mean() > INSIDE:
+                    continue  # both children would get nearly all of it
+                own[node] = cut
                 following[2 * node + 1] = members[value <= cut]
                 following[2 * node + 2] = members[value > cut]
             nodes = following
@@ -92,30 +103,22 @@ def grow(sample: np.ndarray, depth: int, min_cosine: float, trees: int, seed: in
 
 
 def _routed(vectors: DataFrame, forest: Forest, dimension: int) -> DataFrame:
-    """A row for each leaf of each vector, with all the vector's leaves beside it."""
+    """A row for each leaf of each vector."""
     bounded_batches(vectors.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            row, tree, leaf = forest.leaves(unit(matrix(batch.column("embedding"), dimension)))
-            cell = (tree.astype(np.int64) << 40) | leaf
-            order = np.lexsort((cell, row))
-            row, cell = row[order], cell[order]
-            lists = np.split(cell, np.flatnonzero(np.diff(row)) + 1)
-            cells = pa.array([own.tolist() for own in lists], pa.list_(pa.int64()))
+            row, cell = forest.cells(unit(matrix(batch.column("embedding"), dimension)))
             out = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(cell), cells.take(pa.array(row))],
-                names=[*out.schema.names, "cell", "cells"],
-            )
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cell)], names=[*out.schema.names, "cell"])
 
-    schema = T.StructType(vectors.schema.fields + T.StructType.fromDDL("cell long, cells array<long>").fields)
+    schema = T.StructType(vectors.schema.fields + T.StructType.fromDDL("cell long").fields)
     return vectors.mapInArrow(run, schema)
 
 
-def _compare(min_cosine: float, dimension: int):
+def _compare(min_cosine: float, dimension: int, forest: Forest):
     """Links of one leaf, or of two blocks of a large one.
 
     A pair that meets in several leaves counts in the first of them only, so partial numbers
@@ -138,12 +141,11 @@ def _compare(min_cosine: float, dimension: int):
         ids, link = ids[some], link[np.ix_(some, some)]
         n = len(ids)
         # Leaves before this one, by vector: pairs that share one were counted there.
-        cell = key[1].as_py()
-        lists = rows.column("cells").take(pa.array(order[some])).to_pylist() if n else []
-        earlier = [(i, c) for i, own in enumerate(lists) for c in own if c < cell]
         fresh = link
-        if earlier:
-            who, which = np.array([e[0] for e in earlier]), np.unique([e[1] for e in earlier], return_inverse=True)[1]
+        who, which = forest.cells(x[some]) if n else (np.zeros(0, np.int64),) * 2
+        who, which = who[which < key[1].as_py()], which[which < key[1].as_py()]
+        if len(who):
+            which = np.unique(which, return_inverse=True)[1]
             shared = np.zeros((n, int(which.max()) + 1), dtype=np.float32)
             shared[who, which] = 1
             fresh = link & ~(shared @ shared.T > 0)
@@ -202,7 +204,10 @@ def near_vectors(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")
         )
     depth = max(0, ceil(log2(n / leaf))) if n > leaf else 0
-    taken = nodes.orderBy(F.xxhash64("node", F.lit(seed))).limit(SAMPLE).select("embedding").toArrow()
+    drawn = F.xxhash64("node", F.lit(seed))
+    # About twice the sample passes, so that ordering them is no task's burden.
+    few = nodes.where(F.pmod(drawn, F.lit(1 << 30)) < F.lit(min(1 << 30, (2 * SAMPLE << 30) // n)))
+    taken = few.orderBy(drawn).limit(SAMPLE).select("embedding").toArrow()
     forest = grow(unit(matrix(taken.column("embedding"), dimension)), depth, min_cosine, trees, seed)
     routed = store(_routed(nodes, forest, dimension), "routed")
 
@@ -213,13 +218,13 @@ def near_vectors(
     pairs = (
         routed.join(sizes, ["label", "cell"])
         .withColumn("block", own)
-        .select("label", "cell", "node", "copies", "embedding", "cells", "block", other)
+        .select("label", "cell", "node", "copies", "embedding", "block", other)
         .withColumn("first", F.least("block", "other"))
         .withColumn("second", F.greatest("block", "other"))
         .drop("other")
     )
     compared = pairs.groupBy("label", "cell", "first", "second").applyInArrow(
-        _compare(min_cosine, dimension), "node long, hub long, links long"
+        _compare(min_cosine, dimension, forest), "node long, hub long, links long"
     )
     compared = store(compared, "links")
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
