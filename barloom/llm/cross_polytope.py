@@ -167,8 +167,8 @@ def nearest(
     that a query looks into; their cosine is computed in double precision on the original
     vectors. Ranks count from 1, nearest first, ties to the smaller ``vec_id``. Queries and
     vectors that are NULL, zero, or hold NULL or non-finite components, or lack ``vec_id``, take
-    no part; a query for which fewer candidates were found has fewer rows. Of rows that repeat
-    a query one counts. Empty tables give none. All vectors have the same length.
+    no part. A query that meets too few in its buckets is compared with all vectors, so it has
+    fewer rows only where there are fewer candidates. Of rows that repeat a query one counts. Empty tables give none. All vectors have the same length.
 
     Of copies of one vector only the ``neighbours + 1`` smallest ids can be among a query's
     nearest, so no others are indexed. A bucket is compared in blocks of about ``BLOCK``
@@ -190,16 +190,48 @@ def nearest(
     index = store(_placed(indexed, polytopes, dimension, 0), "index")
     looks = _placed(asked, polytopes, dimension, probes)
 
-    # A bucket's vectors are dealt over blocks; queries go to all blocks of the buckets they look into.
-    sizes = index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    at = ["table", "bucket", "block"]
-    left = index.join(sizes, ["table", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("blocks")
-    right = looks.join(sizes, ["table", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(
-        _search(neighbours, dimension), "query_id long, vec_id long, score double"
-    )
-    # A pair found in several tables has the same score in each.
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = _compared(index, looks, ["table", "bucket"], neighbours, dimension)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def best(pairs: DataFrame) -> DataFrame:
+        # A pair found in several tables has the same score in each.
+        once = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours)
+
+    ranked = store(best(found), "ranked")
+    # Queries that met too few look at every vector: each is in one bucket of the first table.
+    full = ranked.where(F.col("rank") == neighbours).select(F.col("query_id").alias("id"))
+    short = store(asked.join(full, "id", "left_anti"), "short")
+    everything = F.lit(0).alias("whole")
+    rest = _compared(
+        index.where("table = 0").select("id", "embedding", everything),
+        short.select("id", "embedding", everything),
+        ["whole"],
+        neighbours,
+        dimension,
+    )
+    whole = ranked.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+    ranked = whole.select("query_id", "rank", "vec_id", "score").unionByName(
+        best(rest).select("query_id", "rank", "vec_id", "score")
+    )
+    return ranked
+
+
+def _compared(index: DataFrame, looks: DataFrame, at: list[str], neighbours: int, dimension: int) -> DataFrame:
+    """The nearest candidates of each query in the groups ``at``, block by block of both sides.
+
+    A group's vectors and queries are dealt over blocks of about ``BLOCK``, and every pair of
+    blocks is compared, so a task gets two blocks however large a group is.
+    """
+
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*at).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    both = sizes(index, "blocks").join(sizes(looks, "parts"), at)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    left = index.join(both, at).withColumn("block", own("blocks")).withColumn("part", every("parts"))
+    right = looks.join(both, at).withColumn("part", own("parts")).withColumn("block", every("blocks"))
+    cell = [*at, "block", "part"]
+    left, right = (df.drop("blocks", "parts").groupBy(*cell) for df in (left, right))
+    return left.cogroup(right).applyInArrow(_search(neighbours, dimension), "query_id long, vec_id long, score double")
