@@ -17,6 +17,8 @@ from .common import crc_fold, edit_rows, map_texts
 #: the characters that are read of each: the bounds of what the fit reads.
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 200
+#: Slices of a language that are cut to SAMPLE_DOCS before the language is.
+SLICES = 64
 SAMPLE_CHARS = 4_000
 LEVEL = 5
 #: Bytes that are compressed at a time, so that a long text's own words don't replace the dictionary's.
@@ -75,7 +77,8 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
     sample of ``SAMPLE_DOCS`` different texts, in the order of a hash of what is read of them,
     gives up to ``SAMPLE_CHARS`` characters each and ``DICTIONARY_BYTES`` bytes together, which
     mostly is the smaller bound. Copies take one place. The driver gets that much for each
-    language. No labelled rows give no languages.
+    language. A language with any letter in its sample is learned, however short (its content is
+    then repeated); one without a letter is not. No labelled rows give no languages.
     """
     length = F.length("text")
     part = F.substring("text", 1, SAMPLE_CHARS)
@@ -86,17 +89,16 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
         # Texts of middling length first, then any.
         .select("lang", (~length.between(200, SAMPLE_CHARS)).cast("int").alias("odd"), F.xxhash64(part).alias("h"), part.alias("part"))
     )
-    # Copies are dropped by their hashes, so that no texts are shuffled for it.
-    order = Window.partitionBy("lang").orderBy("odd", "h")
-    chosen = (
-        eligible.select("lang", "odd", "h")
-        .distinct()
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= SAMPLE_DOCS)
-    )
+    # Copies are dropped by their hashes, so that no texts are shuffled for it; the first window
+    # bounds what the second gets of a language, however many tasks there are.
+    chosen = eligible.select("lang", "odd", "h").distinct().withColumn("slice", F.pmod("h", F.lit(SLICES)))
+    for group in (["lang", "slice"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("odd", "h")
+        chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
+    chosen = chosen.drop("slice")
     # At most SAMPLE_DOCS numbers for each language.
     rows = (
-        eligible.join(F.broadcast(chosen), ["lang", "odd", "h"])
+        eligible.join(chosen, ["lang", "odd", "h"])
         .groupBy("lang", "place")
         .agg(F.min("part").alias("part"))
         .collect()
@@ -106,7 +108,12 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
         own = found.setdefault(row["lang"], bytearray())
         if len(own) < DICTIONARY_BYTES:
             own += plain(row["part"]) + b"\n"
-    return LanguageModel({k: bytes(v[:DICTIONARY_BYTES]) for k, v in found.items() if len(v.strip()) >= 8})
+    return LanguageModel({k: _dictionary(bytes(v[:DICTIONARY_BYTES])) for k, v in found.items() if v.strip()})
+
+
+def _dictionary(content: bytes) -> bytes:
+    """At least the eight bytes that a dictionary must have: short content is repeated."""
+    return content * -(-8 // len(content))
 
 
 def identify(docs: DataFrame, model: LanguageModel, folds: int = 4, held_out: int = 2) -> DataFrame:
