@@ -119,14 +119,19 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     )
 
 
+#: Reserved name of a column beside those of the documents.
+TEXT_HASH = "_simhash_text"
+
+
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of ``docs``: that of the smallest ``doc_id``; columns unchanged.
 
-    Of rows that repeat a ``doc_id`` one stays. Rows without ``doc_id`` cannot be compared by
-    it and stay.
+    Of rows that repeat such a ``doc_id`` one stays for each different text, so no text goes but for
+    a near-duplicate under another id. Rows without ``doc_id`` cannot be compared by it and stay.
     """
     kept = simhash_groups(docs, words, max_bits).where("doc_id = component_id").select("doc_id").distinct()
     # The row number is taken on the partitioning and order that the join leaves.
     named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    first = named.dropDuplicates(["doc_id"]).select(docs.columns)
+    first = named.withColumn(TEXT_HASH, F.xxhash64("text")).dropDuplicates(["doc_id", TEXT_HASH])
+    first = first.select(docs.columns)
     return first.unionByName(docs.where("doc_id IS NULL"))
