@@ -18,7 +18,7 @@ from .common import crc_fold, edit_rows, map_texts
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 200
 #: Slices of a language that are cut to SAMPLE_DOCS before the language is.
-SLICES = 64
+SLICES = 16
 SAMPLE_CHARS = 4_000
 LEVEL = 5
 #: Bytes that are compressed at a time, so that a long text's own words don't replace the dictionary's.
@@ -98,7 +98,7 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
     chosen = chosen.drop("slice")
     # At most SAMPLE_DOCS numbers for each language.
     rows = (
-        eligible.join(chosen, ["lang", "odd", "h"])
+        eligible.join(F.broadcast(chosen), ["lang", "odd", "h"])
         .groupBy("lang", "place")
         .agg(F.min("part").alias("part"))
         .collect()
