@@ -168,3 +168,12 @@ def test_only_copies_collapse_in_the_toxic_sample(spark, monkeypatch):
     assert {(r.text, r.y) for r in got} == {(t, y) for _, t, y in rows} and len(got) == 41
     monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 21)
     assert sum(r.y for r in toxicity._sample(frame.drop("toxic"), frame.drop("text"), 5, 0).collect()) == 21
+
+
+def test_a_tiny_language_is_learned(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran off", "en") for i in range(5)] + [(50, "xyq", "xx"), (51, "123", "nn")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs, 1, 1)
+    found = langid.identify(docs, model, 1, 1).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found if r["doc_id"] != 51} == {**{i: "en" for i in range(5)}, 50: "xx"}
+    assert {r["lang_pred"] for r in found} <= {"en", "xx", "und"}

@@ -110,3 +110,10 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], DDL)
     assert simhash.simhash_groups(empty).count() == 0
     assert simhash.drop_near_duplicates(empty).count() == 0
+
+
+def test_a_repeated_id_keeps_its_different_texts(spark):
+    rows = [(1, "one two three four"), (1, "five six seven eight"), (2, "nine ten eleven twelve"), (2, "nine ten eleven twelve")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.drop_near_duplicates(docs)
+    assert sorted(map(tuple, kept.collect())) == sorted(set(rows))

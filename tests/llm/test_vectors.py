@@ -174,3 +174,39 @@ def test_few_and_odd_vectors(spark):
     empty = frame.limit(0)
     assert cross_polytope.nearest(empty, empty).count() == 0
     assert cross_polytope.nearest(frame, empty).count() == 0
+
+
+@pytest.mark.parametrize("count", [1, 3, 7, 10, 14])
+def test_small_tables_give_all_candidates(spark, count):
+    """Probes alone meet too few of so few vectors."""
+    rng = np.random.default_rng(count)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(count)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = cross_polytope.nearest(vectors, vectors).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(count):
+        order = [j for j in np.argsort(-(x @ x[i])) if j != i][:5]
+        assert len(got.get(i, [])) == len(order)
+        if count <= 6:  # all there are; of more, the five need not be the nearest
+            assert got.get(i, []) == order
+
+
+def test_a_hot_cluster_is_not_copied_down_the_tree():
+    """64 dimensions, a third of the rows in one cluster: few copies a row, and no link lost."""
+    rng = np.random.default_rng(0)
+    n, hot = 9_000, 3_000
+    x = rng.normal(size=(n, 64))
+    x[:hot] = x[0] / np.linalg.norm(x[0]) + rng.normal(size=(hot, 64)) * 0.14 / 8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = rp_forest.grow(x, 6, 0.98, rp_forest.TREES, 1)
+    row, cell = forest.cells(x)
+    assert np.bincount(row, minlength=n)[:hot].mean() <= 4 * rp_forest.TREES
+    some = rng.choice(hot, 400, replace=False)
+    near = x[some] @ x[some].T >= 0.98
+    leaves = [set(cell[row == r].tolist()) for r in some]
+    lost = sum(not leaves[i] & leaves[j] for i, j in zip(*np.nonzero(near)) if i < j)
+    assert lost == 0
