@@ -407,12 +407,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return _day(plans.price_features(testdata.orders_bars(configure(spark), ENTRY_DIR)))
 
 
+#: What may be missing; any other failed import is an error.
+LLM_MODULES = ("corpus_pipeline", "barloom.llm", "barloom.llm.queries")
+
+
 def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries of the subpackage ``llm`` and the pipeline, if they are there."""
     try:
         import corpus_pipeline
         from barloom.llm.queries import QUERIES
-    except ImportError:
+    except ModuleNotFoundError as error:
+        if error.name not in LLM_MODULES:
+            raise
         return {}
     return QUERIES | {"pipeline": corpus_pipeline.run}
 
@@ -421,7 +427,9 @@ def _llm_oracle_sql() -> dict[str, str]:
     try:
         import corpus_pipeline
         from barloom.llm.queries import ORACLE_SQL
-    except ImportError:
+    except ModuleNotFoundError as error:
+        if error.name not in LLM_MODULES:
+            raise
         return {}
     if corpus_pipeline.ORACLE_SQL is None:
         return dict(ORACLE_SQL)
