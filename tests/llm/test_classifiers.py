@@ -171,7 +171,7 @@ def test_only_copies_collapse_in_the_toxic_sample(spark, monkeypatch):
 
 
 def test_a_tiny_language_is_learned(spark):
-    rows = [(i, "the cat sat on the mat and the dog ran off", "en") for i in range(5)] + [(50, "xyq", "xx"), (51, "123", "nn")]
+    rows = [(i, "the cat sat on the mat and the dog ran off", "en") for i in range(5)] + [(50, "xyq wvz kjh qqx zzv", "xx"), (51, "123", "nn")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit_languages(docs, 1, 1)
     found = langid.identify(docs, model, 1, 1).collect()
