@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_batches, release_memory, store
 from .tokens import library_encoder
@@ -23,6 +24,9 @@ ROUNDS = 4
 #: Stretches k of the dual-feasible functions that are tried.
 STRETCHES = range(1, 25)
 
+#: Columns that packing adds.
+ADDED = ("sequence_id", "offset", "certified")
+
 PIECE_FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -124,19 +128,19 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return bins, offsets, np.array(loads, dtype=np.int64)
 
 
-def _packer(turn: int, last: bool, capacity: int) -> Callable[[pa.Table], pa.Table]:
+def _packer(turn: int, last: bool, capacity: int, dealt: str, settled: str) -> Callable[[pa.Table], pa.Table]:
     def one(pieces: pa.Table) -> pa.Table:
         lengths = pieces.column("length").to_numpy()
         bins, offsets, loads = best_fit(lengths, capacity)
         good = len(loads) == lower_bound(lengths, capacity)
-        part = pieces.column("part")[0].as_py()
+        part = pieces.column(dealt)[0].as_py()
         added = {
             "sequence_id": (turn << 56) + (part << 24) + bins,
             "offset": offsets,
             "certified": np.full(len(bins), good),
-            "settled": (loads[bins] == capacity) | good | last,
+            settled: (loads[bins] == capacity) | good | last,
         }
-        out = pieces.drop_columns(["part"])
+        out = pieces.drop_columns([dealt])
         for name, values in added.items():
             out = out.append_column(name, pa.array(values))
         return out
@@ -144,6 +148,13 @@ def _packer(turn: int, last: bool, capacity: int) -> Callable[[pa.Table], pa.Tab
     return one
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def pack(
     pieces: DataFrame,
     capacity: int = CAPACITY,
@@ -157,13 +168,17 @@ def pack(
     lower bound; one that meets it is certified and done. In the others the full bins stay, and
     the pieces of all bins with room are pooled, dealt over new partitions and packed again.
     Packing ends when no partition has a gap, or after ``rounds``; bins of the last round stay
-    with ``certified`` false. No piece is longer than ``capacity`` or shorter than one.
+    with ``certified`` false. No piece is longer than ``capacity`` or shorter than one. Columns
+    of ``pieces`` that are named like the three added ones are replaced; all others stay.
     """
     spark = pieces.sparkSession
-    columns = pieces.columns
-    now = store(pieces.withColumn("deal", F.rand(7)), "pieces")
+    columns = [c for c in pieces.columns if c.lower() not in ADDED]
+    deal, part, settled_name = (_unused(name, columns) for name in ("deal", "part", "settled"))
+    now = store(pieces.select(*columns, F.rand(7).alias(deal)), "pieces")
     done = None
-    fields = now.select(*columns).schema.simpleString()[len("struct<") : -1]
+    kept = now.schema.fields
+    added = T.StructType.fromDDL("sequence_id long, offset long, certified boolean").fields
+    schema = T.StructType([*kept, *added, T.StructField(settled_name, T.BooleanType())])
     for turn in range(rounds):
         n = now.count()
         if done is not None and n == 0:
@@ -171,13 +186,12 @@ def pack(
         parts = max(1, -(-n // partition_pieces))
         last = turn == rounds - 1
 
-        dealt = now.withColumn("part", F.floor(F.col("deal") * parts).cast("long"))
-        schema = f"{fields}, deal double, sequence_id long, offset long, certified boolean, settled boolean"
-        packed = store(dealt.groupBy("part").applyInArrow(_packer(turn, last, capacity), schema), "packed")
-        settled = packed.where("settled").drop("settled", "deal")
+        dealt = now.withColumn(part, F.floor(F.col(deal) * parts).cast("long"))
+        packed = store(dealt.groupBy(part).applyInArrow(_packer(turn, last, capacity, part, settled_name), schema), "packed")
+        settled = packed.where(F.col(settled_name)).drop(settled_name, deal)
         done = settled if done is None else done.unionByName(settled)
         # A new deal, so that pieces meet others than before.
-        again = packed.where("NOT settled").select(*columns, F.rand(8 + turn).alias("deal"))
+        again = packed.where(~F.col(settled_name)).select(*columns, F.rand(8 + turn).alias(deal))
         now = store(again, "pieces") if not last else spark.createDataFrame([], again.schema)
     return done
 

@@ -125,8 +125,15 @@ def base_spans(text: str) -> list[Span]:
 
 
 def context(text: str, start: int) -> str:
-    """The words before an identifier, lower-cased: the pattern that it stands in."""
-    return " ".join(text[max(0, start - CONTEXT_CHARS) : start].lower().split()[-CONTEXT_WORDS:])
+    """The words before an identifier, lower-cased: the pattern that it stands in.
+
+    A word that begins before the characters looked at is no word of a context.
+    """
+    first = max(0, start - CONTEXT_CHARS)
+    words = text[first:start].lower().split()
+    if first and words and not text[first - 1].isspace() and not text[first].isspace():
+        words = words[1:]
+    return " ".join(words[-CONTEXT_WORDS:])
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -297,35 +304,51 @@ def score_instances(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN
     """``(instance, kind, score)`` of identifiers that are no seeds, by the graph of patterns.
 
     ``edges(pattern, instance, seed, forms)``: ``seed`` is the kind of a seed, ``forms`` the
-    kinds that another identifier resembles. A pattern's score for a kind is the mean score of
-    its different identifiers, if ``min_seeds`` of them are seeds of that kind; an identifier's
-    score is the noisy-or of its patterns' scores, for kinds that it resembles. Seeds keep score
-    one. Everything is counted over different (pattern, instance) pairs, added up before the
-    shuffle; a frequent pattern meets its identifiers in a join whose hot keys Spark splits.
+    kinds that another identifier resembles. Each round a pattern may speak for a kind if
+    ``min_seeds`` of its different identifiers are seeds of that kind: base ones, or identifiers
+    that reached ``MIN_INSTANCE`` in the round before, so what one pattern discovers induces the
+    next. A pattern's score is the mean score of all its different identifiers; an identifier's
+    score is the noisy-or of its patterns' scores, for kinds that it resembles. Base seeds keep
+    score one. Everything is counted over different (pattern, instance) pairs, added up before
+    the shuffle; a frequent pattern meets its identifiers in a join whose hot keys Spark splits.
     """
     shared_dir(edges.sparkSession)
     pairs = edges.groupBy("pattern", "instance").agg(
         F.max("seed").alias("seed"), F.max("forms").alias("forms")
     ).checkpoint()
     sizes = pairs.groupBy("pattern").agg(F.count("*").alias("n"))
-    seeds = pairs.where("seed IS NOT NULL").select("pattern", "instance", F.col("seed").alias("kind"))
-    # Kinds that a pattern has enough seeds for; no others ever get a score.
-    fit = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
-    fit = fit.join(sizes, "pattern").checkpoint()
+    base = (
+        pairs.where("seed IS NOT NULL")
+        .groupBy("pattern", F.col("seed").alias("kind"))
+        .agg(F.count("*").alias("seeds"), F.count("*").cast("double").alias("mass"))
+        .join(sizes, "pattern")
+        .checkpoint()
+    )
     open_pairs = (
         pairs.where("seed IS NULL")
         .select("pattern", "instance", F.explode("forms").alias("kind"))
-        .join(fit, ["pattern", "kind"])
+        .join(sizes, "pattern")
         .checkpoint()
     )
     scores = None
     for _ in range(rounds):
-        mean = fit.select("pattern", "kind", (F.col("n_seeds") / F.col("n")).alias("score"))
+        support = base
         if scores is not None:
-            gained = open_pairs.join(scores, ["instance", "kind"]).groupBy("pattern", "kind").agg(F.sum("score").alias("gain"))
-            mean = fit.join(gained, ["pattern", "kind"], "left").select(
-                "pattern", "kind", ((F.col("n_seeds") + F.coalesce("gain", F.lit(0.0))) / F.col("n")).alias("score")
+            gained = (
+                open_pairs.join(scores, ["instance", "kind"])
+                .groupBy("pattern", "kind")
+                .agg(
+                    F.count_if(F.col("score") >= MIN_INSTANCE).alias("seeds"),
+                    F.sum("score").alias("mass"),
+                    F.max("n").alias("n"),
+                )
+            )
+            support = (
+                base.unionByName(gained)
+                .groupBy("pattern", "kind")
+                .agg(F.sum("seeds").alias("seeds"), F.sum("mass").alias("mass"), F.max("n").alias("n"))
             )
+        mean = support.where(F.col("seeds") >= min_seeds).select("pattern", "kind", (F.col("mass") / F.col("n")).alias("score"))
         good = mean.where(F.col("score") >= MIN_PATTERN)
         miss = F.sum(F.log1p(-F.least(F.col("score"), F.lit(1 - 1e-9))))
         scores = (

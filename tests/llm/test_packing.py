@@ -82,6 +82,20 @@ def test_partitions_with_gaps_exchange(spark):
     assert packing.lower_bound(np.array(lengths), 100) <= n_small <= n_alone
 
 
+def test_columns_with_names_of_its_own(spark):
+    names = ["deal", "Part", "settled", "settled_", "sequence_id", "offset", "certified", "n"]
+    pieces = spark.range(60).selectExpr("1 + id % 7 AS length", *[f"id AS {c}" for c in names])
+    packed = packing.pack(pieces, 10, partition_pieces=20, rounds=3)
+    assert packed.columns == ["length", "deal", "Part", "settled", "settled_", "n", *packing.ADDED]
+    rows = packed.collect()
+    assert sorted(r.n for r in rows) == list(range(60))
+    assert all(r.deal == r.Part == r.settled == r.settled_ == r.n and r.length == 1 + r.n % 7 for r in rows)
+    loads = {}
+    for r in rows:
+        loads[r.sequence_id] = loads.get(r.sequence_id, 0) + r.length
+    assert max(loads.values()) <= 10
+
+
 def test_the_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     tokenizer = Tokenizer.from_file(VOCABULARY)

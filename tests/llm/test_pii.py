@@ -102,6 +102,38 @@ def test_scores_spread_over_rounds(spark):
     assert later.score > row.score
 
 
+def test_what_is_discovered_becomes_seeds(spark):
+    unseen = [f"212-555-77{i}{i}" for i in range(6)]
+    rows = [(i, f"please dial number +1 (212) 555-{1000 + i} or leave it") for i in range(200)]
+    rows += [(300 + i, f"please dial number {n} now") for i, n in enumerate(unseen)]
+    rows += [(400 + i, f"her office line {n} rings") for i, n in enumerate(unseen)]
+    rows += [(500, "her office line 212-555-8899 rings"), (501, "some other line 212-555-9911 rings")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(frame).collect()}
+    # No base seed stands beside "office line": six discovered identifiers induce that pattern.
+    assert got[500] == "near_phone:16:28" and got[501] == ""
+    assert all(got[400 + i] == "near_phone:16:28" for i in range(6))
+
+
+def test_second_generation_needs_a_second_round(spark):
+    edges = [("p", f"s{i}", "phone", None) for i in range(60)]
+    edges += [(p, f"x{i}", None, ["phone"]) for i in range(5) for p in "pq"]
+    edges += [("q", "y", None, ["phone"]), ("r", "y", None, ["phone"]), ("q", "z", None, ["card"])]
+    frame = spark.createDataFrame(edges, "pattern string, instance string, seed string, forms array<string>")
+    once = {r.instance for r in pii.score_instances(frame, rounds=1).collect()}
+    assert once == {f"x{i}" for i in range(5)}
+    twice = {r.instance: r.score for r in pii.score_instances(frame, rounds=2).collect()}
+    # 5 of 7 identifiers of q have the score of p, 60 / 65, in the first round.
+    assert set(twice) == once | {"y"} and abs(twice["y"] - 5 * (60 / 65) / 7) < 1e-9
+
+
+def test_contexts_have_whole_words():
+    assert pii.context("dial number 5", 12) == "dial number"
+    assert pii.context("x" * 100 + "1", 100) == ""
+    assert pii.context("x" * 100 + " no 1", 104) == "no"
+    assert pii.context("word " + "x" * 74 + " no 1", 83) == "x" * 74 + " no"
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "word " * 60_000 + "1.2.3.4"), (4, "1.2.3.4 é 1.2.3.4"), (4, "1.2.3.4 é 1.2.3.4"), (None, "1.2.3.4")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS row", "2 AS spans", "3 AS edges")
