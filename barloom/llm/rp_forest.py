@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log2, sqrt
+from math import ceil, inf, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,16 @@ SAMPLE_LEAF = 8
 #: Half the width of the overlap, in standard deviations of the difference that a projection
 #: shows of two vectors at the least cosine.
 OVERLAP = 1.0
-#: A node is not split if more of its sample than this lies within the overlap of the cut.
-INSIDE = 0.5
+#: A node is not split if more of its sample than this lies within the overlap of the cut, which
+#: is the cheapest one of so many between these shares of the sample.
+INSIDE = 0.25
+CUTS = 37
+SHARES = (0.05, 0.95)
+#: Levels of a tree: so many times those of even halves without overlap, and some more for nodes
+#: that a level doesn't divide; at most as many as leaf numbers have bits for.
+LEVELS = 1.3
+SPARE_LEVELS = 8
+MOST_LEVELS = 38
 #: Vectors of a leaf that are compared in one task; larger leaves are cut into blocks, and
 #: every pair of blocks is compared.
 BLOCK = 1_500
@@ -36,70 +44,112 @@ BLOCK = 1_500
 
 @dataclass(frozen=True)
 class Forest:
-    """Splits of all trees: node i of a tree has the children 2i + 1 and 2i + 2."""
+    """Splits of all trees: node i of a tree has the children 2i + 1 and 2i + 2.
+
+    ``cuts`` are by node. Where a node's sample is too small to be divided again, all nodes of
+    a level below it share one cut: ``tails``, by (that node, level).
+    """
 
     directions: np.ndarray  # tree, level, component
     cuts: list[dict[int, float]]
+    tails: list[dict[tuple[int, int], float]]
     margin: float
 
     def leaves(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(row, tree, leaf)`` of every leaf that a row of unit vectors falls into."""
         out = []
-        for tree, cuts in enumerate(self.cuts):
+        for tree, (cuts, tails) in enumerate(zip(self.cuts, self.tails)):
             shown = rows @ self.directions[tree].T
             row, node = np.arange(len(rows)), np.zeros(len(rows), dtype=np.int64)
+            top = np.full(len(rows), -1, dtype=np.int64)  # where the tail began
+            ended = []
             for level in range(shown.shape[1]):
-                cut = np.array([cuts.get(n, np.nan) for n in np.unique(node).tolist()])
-                here = cut[np.searchsorted(np.unique(node), node)]
+                nodes, place = np.unique(node, return_inverse=True)
+                cut = np.array([cuts.get(n, np.nan) for n in nodes.tolist()])[place]
+                top = np.where((top < 0) & np.isnan(cut), node, top)
+                if tails and (top >= 0).any():
+                    tops, place = np.unique(top, return_inverse=True)
+                    below = np.array([tails.get((n, level), np.nan) for n in tops.tolist()])[place]
+                    cut = np.where(top >= 0, below, cut)
+                ends = np.isnan(cut)
+                ended.append((row[ends], node[ends]))
                 value = shown[row, level]
-                ends = np.isnan(here)
-                left, right = value <= here + self.margin, value >= here - self.margin
-                row, node = (
-                    np.concatenate([row[ends], row[left], row[right]]),
-                    np.concatenate([node[ends], 2 * node[left] + 1, 2 * node[right] + 2]),
+                left, right = value <= cut + self.margin, value >= cut - self.margin
+                row, node, top = (
+                    np.concatenate([row[left], row[right]]),
+                    np.concatenate([2 * node[left] + 1, 2 * node[right] + 2]),
+                    np.concatenate([top[left], top[right]]),
                 )
+            row = np.concatenate([row, *(r for r, _ in ended)])
+            node = np.concatenate([node, *(n for _, n in ended)])
             out.append((row, np.full(len(row), tree), node))
         return tuple(np.concatenate(c) for c in zip(*out))
 
-
     def cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(row, cell)``: leaves as numbers that differ between trees and order by tree."""
         row, tree, leaf = self.leaves(rows)
         return row, (tree.astype(np.int64) << 40) | leaf
 
 
+def _cheapest(value: np.ndarray, margin: float) -> tuple[float, float, float]:
+    """The cut after which the fewest pairs are left to compare, and both sides' shares with overlap.
+
+    A cluster narrower than the margin is thus passed at its side. Where the overlap would hold
+    too much of the node, the cut is infinite: all stays on the left.
+    """
+    value = np.sort(value)
+    cuts = np.quantile(value, np.linspace(*SHARES, CUTS))
+    left = np.searchsorted(value, cuts + margin, side="right") / len(value)
+    right = 1 - np.searchsorted(value, cuts - margin) / len(value)
+    best = int(np.argmin(left**2 + right**2 + 1e-9 * np.abs(left - right)))
+    if left[best] + right[best] - 1 > INSIDE:
+        return inf, 1.0, 0.0
+    return float(cuts[best]), float(left[best]), float(right[best])
+
+
 def grow(sample: np.ndarray, depth: int, min_cosine: float, trees: int, seed: int) -> Forest:
-    """Random directions, one for each level of a tree, cut at the sample's medians.
+    """Trees whose leaves hold about one in ``2 ** depth`` rows, one random direction a level.
 
     Two vectors at the least cosine differ by d = sqrt(2 - 2 c); a projection on a random
     direction shows a difference of about d / sqrt(dimension) of it. Vectors nearer to a cut
     than the margin go to both sides, so a pair is parted only if the cut lies between them
-    and the difference shown is over twice the margin.
+    and the difference shown is over twice the margin. A node without a good cut on one level's
+    direction goes to the next level whole. Directions of different levels are independent, so
+    below a node with few sample vectors the same ones tell the cuts of all further levels:
+    depth follows the table, not the sample. Leaves are as small as asked with their overlap.
     """
     rng = np.random.default_rng(seed)
     dimension = sample.shape[1]
     margin = OVERLAP * sqrt(max(0.0, 2 - 2 * min_cosine)) / sqrt(dimension)
-    directions = rng.standard_normal((trees, max(depth, 1), dimension))
+    levels = min(ceil(LEVELS * depth) + SPARE_LEVELS, MOST_LEVELS) if depth else 1
+    directions = rng.standard_normal((trees, levels, dimension))
     directions /= np.linalg.norm(directions, axis=2, keepdims=True)
     cuts: list[dict[int, float]] = []
+    tails: list[dict[tuple[int, int], float]] = []
     for tree in range(trees):
         own: dict[int, float] = {}
-        nodes = {0: np.arange(len(sample))}
-        for level in range(depth):
+        tail: dict[tuple[int, int], float] = {}
+        nodes = {0: (np.arange(len(sample)), 1.0)}
+        for level in range(levels):
             following = {}
-            for node, members in nodes.items():
+            for node, (members, share) in nodes.items():
+                if share <= 0.5**depth or not len(members):
+                    continue
                 if len(members) < 2 * SAMPLE_LEAF:
+                    for below in range(level, levels):
+                        if share <= 0.5**depth:
+                            break
+                        tail[node, below], *sides = _cheapest(sample[members] @ directions[tree, below], margin)
+                        share *= max(sides)
                     continue
                 value = sample[members] @ directions[tree, level]
-                cut = float(np.median(value))
-                if (np.abs(value - cut) <= margin).mean() > INSIDE:
-                    continue  # both children would get nearly all of it
-                own[node] = cut
-                following[2 * node + 1] = members[value <= cut]
-                following[2 * node + 2] = members[value > cut]
+                own[node], left, right = _cheapest(value, margin)
+                following[2 * node + 1] = members[value <= own[node]], share * left
+                following[2 * node + 2] = members[value > own[node]], share * right
             nodes = following
         cuts.append(own)
-    return Forest(directions, cuts, margin)
+        tails.append(tail)
+    return Forest(directions, cuts, tails, margin)
 
 
 def _routed(vectors: DataFrame, forest: Forest, dimension: int) -> DataFrame:
@@ -122,7 +172,7 @@ def _compare(min_cosine: float, dimension: int, forest: Forest):
     """Links of one leaf, or of two blocks of a large one.
 
     A pair that meets in several leaves counts in the first of them only, so partial numbers
-    of links may be added up. For the union each vector is linked to the smallest one of its
+    of links may be added up; vectors that all met in an earlier leaf aren't compared again. For the union each vector is linked to the smallest one of its
     group here; no more rows come out than vectors went in.
     """
 
@@ -132,7 +182,18 @@ def _compare(min_cosine: float, dimension: int, forest: Forest):
         order = np.argsort(ids)
         ids = ids[order]
         x = unit(matrix(rows.column("embedding"), dimension))[order]
-        link = x @ x.T >= min_cosine
+        n = len(ids)
+        # Leaves before this one, by vector. Pairs that share one were compared there, so the
+        # vectors of the most frequent one are compared with the others only.
+        who, which = forest.cells(x) if n else (np.zeros(0, np.int64),) * 2
+        who, which = who[which < key[1].as_py()], which[which < key[1].as_py()]
+        met = np.zeros(n, dtype=bool)
+        if len(which):
+            cells, size = np.unique(which, return_counts=True)
+            met[who[which == cells[size.argmax()]]] = True
+        link = np.zeros((n, n), dtype=bool)
+        link[~met] = x[~met] @ x.T >= min_cosine
+        link[:, ~met] = link[~met].T
         np.fill_diagonal(link, False)
         if first != second:
             block = rows.column("block").to_numpy()[order]
@@ -140,10 +201,9 @@ def _compare(min_cosine: float, dimension: int, forest: Forest):
         some = link.any(axis=1)
         ids, link = ids[some], link[np.ix_(some, some)]
         n = len(ids)
-        # Leaves before this one, by vector: pairs that share one were counted there.
         fresh = link
-        who, which = forest.cells(x[some]) if n else (np.zeros(0, np.int64),) * 2
-        who, which = who[which < key[1].as_py()], which[which < key[1].as_py()]
+        here = some[who]
+        who, which = (np.cumsum(some) - 1)[who[here]], which[here]
         if len(who):
             which = np.unique(which, return_inverse=True)[1]
             shared = np.zeros((n, int(which.max()) + 1), dtype=np.float32)
