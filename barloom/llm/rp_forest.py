@@ -21,7 +21,7 @@ TREES = 5
 SEED = 5
 #: Vectors of a leaf, about; the documented sample that split points are fitted on (every
 #: vector is indexed); the fewest sample vectors of a node that is split.
-LEAF = 256
+LEAF = 1_024
 SAMPLE = 32_768
 SAMPLE_LEAF = 8
 #: Half the width of the overlap, in standard deviations of the difference that a projection
@@ -40,6 +40,8 @@ MOST_LEVELS = 38
 #: Vectors of a leaf that are compared in one task; larger leaves are cut into blocks, and
 #: every pair of blocks is compared.
 BLOCK = 1_500
+#: Vectors of a task from which comparing them costs more than telling where they met before.
+MANY = 512
 
 
 @dataclass(frozen=True)
@@ -183,14 +185,19 @@ def _compare(min_cosine: float, dimension: int, forest: Forest):
         ids = ids[order]
         x = unit(matrix(rows.column("embedding"), dimension))[order]
         n = len(ids)
-        # Leaves before this one, by vector. Pairs that share one were compared there, so the
-        # vectors of the most frequent one are compared with the others only.
-        who, which = forest.cells(x) if n else (np.zeros(0, np.int64),) * 2
-        who, which = who[which < key[1].as_py()], which[which < key[1].as_py()]
+
+        def earlier(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            row, cell = forest.cells(rows) if len(rows) else (np.zeros(0, np.int64),) * 2
+            return row[cell < key[1].as_py()], cell[cell < key[1].as_py()]
+
+        # Pairs that share an earlier leaf were compared there, so in a large leaf the vectors
+        # of the most frequent earlier one are compared with the others only.
         met = np.zeros(n, dtype=bool)
-        if len(which):
-            cells, size = np.unique(which, return_counts=True)
-            met[who[which == cells[size.argmax()]]] = True
+        if n > MANY:
+            who, which = earlier(x)
+            if len(which):
+                cells, size = np.unique(which, return_counts=True)
+                met[who[which == cells[size.argmax()]]] = True
         link = np.zeros((n, n), dtype=bool)
         link[~met] = x[~met] @ x.T >= min_cosine
         link[:, ~met] = link[~met].T
@@ -202,8 +209,7 @@ def _compare(min_cosine: float, dimension: int, forest: Forest):
         ids, link = ids[some], link[np.ix_(some, some)]
         n = len(ids)
         fresh = link
-        here = some[who]
-        who, which = (np.cumsum(some) - 1)[who[here]], which[here]
+        who, which = earlier(x[some])
         if len(who):
             which = np.unique(which, return_inverse=True)[1]
             shared = np.zeros((n, int(which.max()) + 1), dtype=np.float32)
