@@ -17,6 +17,8 @@ from .common import crc_fold, edit_rows, map_texts
 #: Documents of each label in the training sample: the bound of what the fit reads.
 SAMPLE_TOXIC = 8_000
 SAMPLE_CLEAN = 12_000
+#: Further documents that are ordered to find them, so that chance leaves none short.
+SPARE = 1_000
 #: Longer sentences that near copies have to share, those of the smallest hashes.
 KEY_SENTENCES = 3
 #: A feature needs so many toxic documents, and so many times the share that it has in clean ones.
@@ -118,11 +120,14 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_out: int) -> Da
         .withColumnRenamed("key", "chosen_key")
         .checkpoint()
     )
+    # What is ordered is about twice the sample at most, however many tasks there are: numbers
+    # spread evenly over all longs, so those below a bound from the count are the first.
     deal = F.xxhash64("chosen_key", F.lit(11))
-    parts = [
-        once.where(F.col("y") == y).orderBy(deal, "chosen_key").limit(n)
-        for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
-    ]
+    found = {row["y"]: row["count"] for row in once.groupBy("y").count().collect()}
+    parts = []
+    for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
+        bound = min((1 << 63) - 1, ((2 * n + SPARE) << 64) // max(1, found.get(y, 0)) - (1 << 63))
+        parts.append(once.where((F.col("y") == y) & (deal <= F.lit(bound))).orderBy(deal, "chosen_key").limit(n))
     # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows of numbers.
     chosen = F.broadcast(parts[0].union(parts[1]))
     sample = open_docs.join(chosen, F.col("doc_id") == F.col("chosen_id")).select("text", "y", "chosen_key")

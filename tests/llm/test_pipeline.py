@@ -15,7 +15,7 @@ def ids(df):
 def test_everything_is_registered():
     own = entry.queries()
     assert QUERIES.keys() | {"pipeline"} <= own.keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_decide_as_their_operators(spark):
