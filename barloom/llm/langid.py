@@ -11,14 +11,16 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.schema import shared_dir
+
 from .common import crc_fold, edit_rows, map_texts
 
 #: Bytes of a language's dictionary; different texts of a language in the training sample, and
 #: the characters that are read of each: the bounds of what the fit reads.
 DICTIONARY_BYTES = 112 << 10
 SAMPLE_DOCS = 200
-#: Slices of a language that are cut to SAMPLE_DOCS before the language is.
-SLICES = 16
+#: Further texts that are ordered to find them, so that chance leaves none short.
+SPARE = 200
 SAMPLE_CHARS = 4_000
 LEVEL = 5
 #: Bytes that are compressed at a time, so that a long text's own words don't replace the dictionary's.
@@ -89,13 +91,20 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Languag
         # Texts of middling length first, then any.
         .select("lang", (~length.between(200, SAMPLE_CHARS)).cast("int").alias("odd"), F.xxhash64(part).alias("h"), part.alias("part"))
     )
-    # Copies are dropped by their hashes, so that no texts are shuffled for it; the first window
-    # bounds what the second gets of a language, however many tasks there are.
-    chosen = eligible.select("lang", "odd", "h").distinct().withColumn("slice", F.pmod("h", F.lit(SLICES)))
-    for group in (["lang", "slice"], ["lang"]):
-        order = Window.partitionBy(*group).orderBy("odd", "h")
-        chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
-    chosen = chosen.drop("slice")
+    # Copies are dropped by their hashes, so that no texts are shuffled for it. Hashes spread evenly
+    # over all longs, so those below a bound from the count are the first: the window gets about
+    # 2 * SAMPLE_DOCS + SPARE of a language and kind, however many tasks and rows there are.
+    shared_dir(docs.sparkSession)
+    texts = eligible.select("lang", "odd", "h").distinct().checkpoint()
+    share = F.lit(float(2 * SAMPLE_DOCS + SPARE)) / F.count("*")
+    bounds = texts.groupBy("lang", "odd").agg((share * 2.0**64 - 2.0**63).alias("bound"))
+    order = Window.partitionBy("lang").orderBy("odd", "h")
+    chosen = (
+        texts.join(bounds, ["lang", "odd"])
+        .where(F.col("h").cast("double") <= F.col("bound"))
+        .select("lang", "odd", "h", F.row_number().over(order).alias("place"))
+        .where(F.col("place") <= SAMPLE_DOCS)
+    )
     # At most SAMPLE_DOCS numbers for each language.
     rows = (
         eligible.join(F.broadcast(chosen), ["lang", "odd", "h"])
