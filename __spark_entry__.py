@@ -478,6 +478,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 *keep, "avg400"
             )
         ),
+        "trailing_avg_long_doubles": _brands(
+            lambda b: op.trailing_avg(b, "Close", 400, out="avg400", exact=True).select(
+                *keep, "avg400"
+            )
+        ),
         "mean_deviation": _orders(
             lambda b: op.mean_deviation(
                 op.trailing_avg(fn.typical_price(b), "TP", 14, out="DTP14")
@@ -992,6 +997,14 @@ WHERE pos = 1""",
             f"/ (count(*) OVER w * 100) AS avg400 FROM b WINDOW w AS {long_frame}",
             BRAND_BARS,
         ),
+        # Closes are over 512, so all their bits are whole numbers of 2 ** -43.
+        "trailing_avg_long_doubles": f"""
+WITH b AS ({BRAND_BARS}),
+s AS (SELECT "Stock", "Date", sum(("Close" * 8796093022208)::HUGEINT) OVER w AS s, count(*) OVER w AS n
+      FROM b WINDOW w AS {long_frame}),
+t AS (SELECT *, (s // 256)::BIGINT AS upper, (s % 256)::BIGINT AS lower FROM s)
+SELECT "Stock", "Date", CASE WHEN s < 9000000000000000000 THEN s::BIGINT::DOUBLE
+  ELSE (upper | (lower <> 0)::BIGINT)::DOUBLE * 256 END / 8796093022208 / n AS avg400 FROM t""",
         "mean_deviation": f"""
 SELECT "Stock", "Date", "TP", "DTP14", "MD14" FROM ({_price_sql(ORDERS_BARS)}) AS f""",
         "direction_target": f"""

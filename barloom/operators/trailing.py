@@ -41,6 +41,56 @@ def _running(value, rows, days, until, one=1):
     return total.cast("double") / (F.nullif(count, F.lit(0)) * one)
 
 
+#: Bits of the whole numbers that a double is cut into for exact sums: one number of whole
+#: units and two of the bits below. Doubles from 2 ** -27 to 2 ** 40 fit without a rest.
+LIMB_BITS = 40
+
+
+def _exact_running(value, rows, days, until):
+    """Mean of doubles over ``[t - days, t - until]`` from exact running sums.
+
+    A double is cut into three whole numbers of at most ``LIMB_BITS`` bits, each summed as a
+    running long; the difference of two running sums is exact, and only the frame's sum is
+    rounded, once, as if all digits had been added up.
+    """
+    step = F.lit(float(1 << LIMB_BITS))
+    whole = F.floor(value)
+    rest = (value - whole.cast("double")) * step
+    high = F.floor(rest)
+    rest = (rest - high.cast("double")) * step
+    low = F.floor(rest)
+    fits = (F.abs(value) < step) & (rest == low.cast("double"))
+    message = F.concat(F.lit("a value has no exact sum: "), value.cast("string"))
+    whole = F.when(value.isNull() | fits, whole).otherwise(F.raise_error(message).cast("long"))
+
+    upto = rows.rangeBetween(W.unboundedPreceding, -until * DAY)
+    older = rows.rangeBetween(W.unboundedPreceding, -days * DAY - 1)
+
+    def between(limb):
+        sums = (F.coalesce(F.sum(limb).over(frame), F.lit(0).cast("long")) for frame in (upto, older))
+        return next(sums) - next(sums)
+
+    # Carried upwards, so that both lower numbers are below 2 ** LIMB_BITS again.
+    mask = F.lit((1 << LIMB_BITS) - 1)
+    lows, highs, wholes = between(low), between(high), between(whole)
+    highs = highs + F.shiftright(lows, LIMB_BITS)
+    wholes = wholes + F.shiftright(highs, LIMB_BITS)
+    lows, highs = lows.bitwiseAND(mask), highs.bitwiseAND(mask)
+    # All bits in one decimal where they fit; beyond, the lowest only tell that there is a rest.
+    wide = "decimal(38,0)"
+    power = lambda n: F.lit(1 << n).cast("decimal(20,0)")
+    at = lambda c, n: (c.cast("decimal(20,0)") * power(n)).cast(wide)
+    upper = at(wholes, LIMB_BITS) + highs.cast("decimal(20,0)")
+    small = (upper.cast("decimal(24,0)") * F.lit(1 << LIMB_BITS).cast("decimal(14,0)")).cast(wide)
+    small = small + lows.cast("decimal(20,0)")
+    large = (upper * F.lit(4).cast("decimal(1,0)")).cast(wide) + F.when(lows > 0, 1).otherwise(0).cast("decimal(1,0)")
+    total = F.when(
+        F.abs(wholes) < (1 << 15), small.cast("double") * F.lit(2.0 ** (-2 * LIMB_BITS))
+    ).otherwise(large.cast("double") * F.lit(2.0 ** (-LIMB_BITS - 2)))
+    count = F.count(value).over(upto) - F.count(value).over(older)
+    return total / F.nullif(count, F.lit(0)).cast("double")
+
+
 def _steps(col, units):
     """A price in whole steps of ``1 / units``; doubles are off by their last digits only."""
     exact = F.col(col) * units
@@ -57,6 +107,7 @@ def trailing_avg(
     until: int = 0,
     out: str | None = None,
     units: int | None = None,
+    exact: bool = False,
     key: str = KEY,
     time: str = TIME,
     chunk_days: int = CHUNK_DAYS,
@@ -69,10 +120,16 @@ def trailing_avg(
     in steps of ``1 / units`` (100 for cents): whole steps are summed, which is exact in
     any order, and a frame costs the same however many bars it holds. A price that is not a
     whole number of steps is an error.
+
+    ``exact`` does the same for any doubles: the mean is the exact sum, rounded once, over the
+    number of values, at a cost independent of the frame. Values of 2 ** 40 or more, values
+    with bits below 2 ** -80, NaN and infinity are an error; a chunk may hold 2 ** 23 bars.
     """
     out = out or f"{col}_avg{days}"
     rows = by_time(key)
-    if units is None:
+    if exact:
+        value = _exact_running(F.col(col).cast("double"), rows, days, until)
+    elif units is None:
         value = F.avg(col).over(rows.rangeBetween(-days * DAY, -until * DAY))
     else:
         value = _running(_steps(col, units), rows, days, until, units)
@@ -87,6 +144,7 @@ def mean_deviation(
     until: int = 0,
     out: str = "MD14",
     running: bool = False,
+    exact: bool = False,
     key: str = KEY,
     time: str = TIME,
     chunk_days: int = CHUNK_DAYS,
@@ -94,11 +152,13 @@ def mean_deviation(
     """Trailing mean of ``|col - mean|``, each row measured against its own mean.
 
     ``running`` is for frames of many bars: deviations are summed as decimals of twelve
-    places, at a cost that does not grow with the frame.
+    places, at a cost that does not grow with the frame. ``exact`` as in ``trailing_avg``.
     """
     rows = by_time(key)
     deviation = F.abs(F.col(col) - F.col(mean))
-    if running:
+    if exact:
+        value = _exact_running(deviation.cast("double"), rows, days, until)
+    elif running:
         value = _running(deviation.cast("decimal(28,12)"), rows, days, until)
     else:
         value = F.avg(deviation).over(rows.rangeBetween(-days * DAY, -until * DAY))

@@ -1,5 +1,7 @@
 """Chunked windows against brute force, whatever the chunk width."""
 
+import math
+from bisect import bisect_left, bisect_right
 from datetime import datetime
 
 import numpy as np
@@ -207,3 +209,58 @@ def test_a_missing_symbol_is_an_error(make_bars):
     for plan in (plans.price_features, op.time_split, op.direction_target, op.time_split_by_date):
         with pytest.raises(Exception, match="has no Stock"):
             plan(bars).collect()
+
+
+def _exactly(series, days, until=0):
+    """Means of frames by math.fsum, which rounds an exact sum once."""
+    day, value = [d for d, _ in series], [v for _, v in series]
+    for d in day:
+        frame = value[bisect_left(day, d - days) : bisect_right(day, d - until)]
+        yield math.fsum(frame) / len(frame) if frame else None
+
+
+@SETTINGS
+@given(histories, widths, st.sampled_from([(14, 0), (14, 1), (60, 3)]), st.integers(-20, 39))
+def test_exact_means_of_any_doubles(make_bars, history, width, frame, power):
+    rng = np.random.default_rng(power + 99)
+    rows = [(s, d, float(rng.standard_normal() + 3) * 2.0**power / 8) for s in history for d in sorted(history[s])]
+    bars = make_bars(rows)
+    got = _by_symbol(op.trailing_avg(bars, "Close", *frame, out="avg", exact=True, chunk_days=width), "avg")
+    for symbol, series in got.items():
+        assert [a for _, a in series] == list(_exactly([(d, c) for s, d, c in rows if s == symbol], *frame))
+
+
+def test_exact_means_over_frames_of_100_000_rows(spark):
+    rng = np.random.default_rng(4)
+    n, days = 150_000, 100_000
+    value = rng.lognormal(3, 4, n) * rng.choice([-1.0, 1.0], n)
+    rows = spark.createDataFrame(list(zip(range(n), value.tolist())), "d int, Close double").selectExpr(
+        "'A' AS Stock", "timestamp_seconds(d * 86400L) AS Date", "Close"
+    )
+    df = op.trailing_avg(rows, "Close", days, out="avg", exact=True, chunk_days=1 << 20)
+    got = [r.avg for r in df.orderBy("Date").select("avg").collect()]
+    for i in [0, 1, 99_999, 100_000, 100_001, 123_456, n - 1]:
+        frame = value[max(0, i - days) : i + 1].tolist()
+        assert got[i] == math.fsum(frame) / len(frame)
+
+
+def test_exact_means_without_values_or_sums(spark):
+    def means(*values):
+        rows = [("A", datetime(2020, 1, 1 + i), v) for i, v in enumerate(values)]
+        bars = spark.createDataFrame(rows, "Stock string, Date timestamp, Close double")
+        return [r.avg for r in op.trailing_avg(bars, "Close", 1, out="avg", exact=True).orderBy("Date").collect()]
+
+    assert means(None, None, 4.0, None, 0.1) == [None, None, 4.0, 4.0, 0.1]
+    assert means(2.0**39, -(2.0**39), 0.1, 0.3) == [2.0**39, 0.0, (0.1 - 2.0**39) / 2, 0.2]
+    for odd in (2.0**40, 1e-30, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="no exact sum"):
+            means(1.0, odd)
+
+
+def test_exact_deviations(make_bars):
+    rows = [("A", d, 10 + (d * 7919 % 101) / 7) for d in range(60)]
+    bars = fn.typical_price(make_bars(rows))
+    means = op.trailing_avg(bars, "TP", 14, out="DTP14", exact=True)
+    got = op.mean_deviation(means, exact=True).orderBy("Date").collect()
+    want = _exactly([(i, abs(r.TP - r.DTP14)) for i, r in enumerate(got)], 14)
+    assert [r.MD14 for r in got] == list(want)
